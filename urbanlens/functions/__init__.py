@@ -20,6 +20,7 @@ from urbanlens.functions.scalar import (
     parse_int,
     parse_timestamp,
     period,
+    round_half_even,
     utc_epoch,
     weekend_flag,
 )
@@ -48,6 +49,7 @@ __all__ = [
     "parse_int",
     "parse_timestamp",
     "period",
+    "round_half_even",
     "utc_epoch",
     "weekend_flag",
 ]

@@ -117,6 +117,17 @@ def item_text(title: ColumnOrName, genres: ColumnOrName, sep: str = "|") -> Colu
     return F.concat(_col(title), F.lit(": "), F.translate(_col(genres), sep, " "))
 
 
+def round_half_even(value: ColumnOrName, digits: int = 2) -> Column:
+    """Round the binary double half-to-even at ``digits`` (``rint(x * 10^d) / 10^d``).
+
+    Spark's ``round`` rounds the *decimal text* of the double half-up (2.425 ->
+    2.43); rounding the double itself gives 2.42, like a Python ``round`` of a
+    float mean.
+    """
+    scale = 10.0**digits
+    return F.rint(_col(value) * scale) / scale
+
+
 def epoch_to_text(epoch: ColumnOrName) -> Column:
     """Epoch seconds -> ``yyyy-MM-dd HH:mm:ss`` (session time zone, UTC)."""
     return F.date_format(F.timestamp_seconds(_col(epoch)), "yyyy-MM-dd HH:mm:ss")

@@ -21,7 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlens.functions.scalar import epoch_to_text
+from urbanlens.functions.scalar import epoch_to_text, round_half_even
 from urbanlens.functions.vectors import cosine, l2_norm
 from urbanlens.operators.sampling import pick_one, sample_keys
 
@@ -145,13 +145,14 @@ def user_counts(ratings: DataFrame, slices: Slices) -> DataFrame:
 
 
 def user_stats(ratings: DataFrame, slices: Slices, digits: int = 2) -> DataFrame:
-    """Last interaction (text), rating count and rounded mean rating."""
+    """Last interaction (text), rating count and mean rating rounded half-even
+    on the double (D20, H12)."""
     return user_counts(ratings, slices).select(
         "iteration",
         "user_id",
         epoch_to_text(F.col("last_ts")).alias("last_interaction_time"),
         F.col("n_ratings").alias("num_ratings"),
-        F.round(F.col("rating_sum") / F.col("n_ratings"), digits).alias("avg_rating"),
+        round_half_even(F.col("rating_sum") / F.col("n_ratings"), digits).alias("avg_rating"),
     )
 
 

@@ -647,7 +647,7 @@ def _top_users(i: Inputs) -> DataFrame:
 @register("user_stats", _rec_sql("""
 SELECT iteration, user_id,
        strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(max(ts)), '%Y-%m-%d %H:%M:%S') AS last_interaction_time,
-       CAST(count(*) AS BIGINT) AS num_ratings, round(avg(rating), 2) AS avg_rating
+       CAST(count(*) AS BIGINT) AS num_ratings, round_even(avg(rating), 2) AS avg_rating
 FROM cum GROUP BY iteration, user_id"""))
 def _user_stats(i: Inputs) -> DataFrame:
     return recsys.user_stats(i.ratings, i.slices)
