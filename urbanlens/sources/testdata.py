@@ -29,8 +29,20 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     of its own, so the optimizer (and AQE at runtime) picks broadcast vs
     sort-merge from the measured sizes.
     """
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
+    # Each derived value is computed on the side that owns its inputs, before the
+    # joins (l_orderkey = o_orderkey, so the pickup hour is an orders-side value);
+    # a predicate later pushed into the join then reuses these columns.
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate",
+        (F.col("o_orderkey") % 24).cast("int").alias("pu_hour_offset"),
+    ).withColumn("tpep_pickup_datetime", F.timestamp_add("HOUR", F.col("pu_hour_offset"), F.col("o_orderdate")))
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "trip_minutes",
+        (
+            F.floor(F.col("l_quantity") * (F.col("l_suppkey") % 5))
+            + F.when(F.col("l_linenumber") == 7, 200).otherwise(0)
+        ).cast("int"),
+    )
     c = table(spark, sf_dir, "customer")
     s = table(spark, sf_dir, "supplier")
     j = (
@@ -38,12 +50,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(c, o.o_custkey == c.c_custkey)
         .join(s, li.l_suppkey == s.s_suppkey)
     )
-    hours = (F.col("l_orderkey") % 24).cast("int")
-    minutes = (
-        F.floor(F.col("l_quantity") * (F.col("l_suppkey") % 5))
-        + F.when(F.col("l_linenumber") == 7, 200).otherwise(0)
-    ).cast("int")
-    pickup = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours, F.lit(0))
+    hours = F.col("pu_hour_offset")
+    pickup = F.col("tpep_pickup_datetime")
     fare = F.col("l_extendedprice") / 100
     extra = F.when(hours.between(16, 19), 2.5).otherwise(1.0)
     mta_tax = F.lit(0.5)
@@ -59,7 +67,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trip_id"),
         pickup.alias("tpep_pickup_datetime"),
-        (pickup + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("tpep_dropoff_datetime"),
+        F.timestamp_add("MINUTE", F.col("trip_minutes"), pickup).alias("tpep_dropoff_datetime"),
         F.col("c_nationkey").alias("PULocationID"),
         F.col("s_nationkey").alias("DOLocationID"),
         F.nullif(F.col("l_linenumber"), F.lit(6)).cast("double").alias("passenger_count"),
