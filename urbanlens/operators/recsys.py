@@ -16,13 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanlens.functions.scalar import epoch_to_text, round_half_even
-from urbanlens.functions.vectors import cosine, l2_norm
+from urbanlens.functions.vectors import cosine, l2_normalize
 from urbanlens.operators.sampling import pick_one, sample_keys
 
 # Recommendation parameters of the surveyed job.
@@ -197,28 +195,49 @@ def liked_with_vectors(
     )
 
 
+def embedding_dim(vectors: DataFrame, col: str = "embedding") -> int:
+    """Vector length, read from one row (a schema-level property of the model)."""
+    row = vectors.select(F.size(col).alias("d")).first()
+    if row is None:
+        raise ValueError("empty vector table")
+    return int(row["d"])
+
+
 def taste_vectors(
-    ratings: DataFrame, vectors: DataFrame, slices: Slices, min_rating: int = MIN_LIKED_RATING
+    ratings: DataFrame,
+    vectors: DataFrame,
+    slices: Slices,
+    min_rating: int = MIN_LIKED_RATING,
+    users: DataFrame | None = None,
+    dim: int | None = None,
 ) -> DataFrame:
     """Normalised mean vector of each user's liked items per iteration (I4).
 
-    Users without any liked item that has a vector are absent. Vector sums are
-    ``Summarizer`` aggregates (partial per task), first per segment, then per
-    iteration after the expansion.
+    Users without any liked item that has a vector are absent. The vector sum is
+    one ``sum`` per component — a code-generated hash aggregate with a map-side
+    partial phase (a hot user costs one partial row per task) — first per
+    segment, then per iteration after the expansion. ``users`` (iteration,
+    user_id) restricts the work to those users before any aggregation.
     """
-    liked = assign_segment(ratings.filter(F.col("rating") >= min_rating), slices)
-    vec = vectors.select("item_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    d = dim or embedding_dim(vectors)
+    liked = ratings.filter(F.col("rating") >= min_rating)
+    if users is not None:
+        liked = liked.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    liked = assign_segment(liked, slices)
+    vec = vectors.select("item_id", F.col("embedding").cast("array<double>").alias("__e"))
+    comps = [f"__s{k}" for k in range(d)]
     seg = liked.join(vec, "item_id").groupBy("segment", "user_id").agg(
-        Summarizer.sum(F.col("v")).alias("v"), F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("__e")[k]).alias(c) for k, c in enumerate(comps)]
     )
-    it = expand_iterations(seg, slices).groupBy("iteration", "user_id").agg(
-        Summarizer.sum(F.col("v")).alias("v"), F.sum("n").alias("n_vectors")
+    it = expand_iterations(seg, slices)
+    if users is not None:
+        it = it.join(users.select("iteration", "user_id"), ["iteration", "user_id"], "left_semi")
+    it = it.groupBy("iteration", "user_id").agg(
+        F.sum("n").alias("n_vectors"), *[F.sum(c).alias(c) for c in comps]
     )
     n = F.col("n_vectors")
-    mean = F.transform(vector_to_array(F.col("v")), lambda x: x / n)
-    norm = l2_norm(mean)
-    unit = F.when(norm > 0, F.transform(mean, lambda x: x / norm)).otherwise(mean)
-    return it.select("iteration", "user_id", "n_vectors", unit.alias("embedding"))
+    mean = it.select("iteration", "user_id", "n_vectors", F.array(*[F.col(c) / n for c in comps]).alias("__m"))
+    return mean.select("iteration", "user_id", "n_vectors", l2_normalize("__m").alias("embedding"))
 
 
 def user_state(
@@ -227,7 +246,7 @@ def user_state(
 ) -> DataFrame:
     """Taste vectors of the sampled users per iteration (I5): the stored state."""
     sampled = sample_users(ratings, slices, fraction, seed)
-    return taste_vectors(ratings, vectors, slices).join(sampled, ["iteration", "user_id"], "left_semi")
+    return taste_vectors(ratings, vectors, slices, users=sampled)
 
 
 def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices) -> DataFrame:
@@ -271,7 +290,7 @@ def top_user_recommendations(
     n: int = TOP_N, seed: int = RANDOM_SEED,
 ) -> DataFrame:
     picked = pick_top_user(ratings, slices, seed)
-    taste = taste_vectors(ratings, vectors, slices).join(F.broadcast(picked), ["iteration", "user_id"], "left_semi")
+    taste = taste_vectors(ratings, vectors, slices, users=F.broadcast(picked))  # one user per iteration
     scores = score_items(taste, vectors, slices)
     return recommend(scores, seen_items(ratings, picked, slices), catalogue, n)
 

@@ -684,8 +684,7 @@ def _taste(i: Inputs) -> DataFrame:
                                     _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
 def _cosine(i: Inputs) -> DataFrame:
     picked = recsys.pick_top_user(i.ratings, i.slices)
-    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices).join(
-        F.broadcast(picked), ["iteration", "user_id"], "left_semi")
+    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices, users=F.broadcast(picked))
     return recsys.score_items(taste, i.vectors, i.slices).withColumn("sim", F.round("sim", 6))
 
 
