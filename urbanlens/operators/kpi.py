@@ -101,14 +101,11 @@ def reindex(
 ) -> DataFrame:
     """Rows in a fixed category order; absent categories appear with NULL metrics.
 
-    The order table is as large as ``order`` (a handful of labels): broadcast.
+    The order table is as large as ``order`` (a handful of labels) and ``df`` is a
+    report; the optimizer broadcasts whichever side it can for the outer join.
     """
     cats = spark.createDataFrame([(v, i + 1) for i, v in enumerate(order)], f"{col} string, {ord_alias} int")
-    return (
-        F.broadcast(cats)
-        .join(df, col, "left")
-        .orderBy(ord_alias)
-    )
+    return cats.join(df, col, "left").orderBy(ord_alias)
 
 
 def top_n(df: DataFrame, by: str, n: int, tiebreak: Sequence[str] = (), ascending: bool = False) -> DataFrame:

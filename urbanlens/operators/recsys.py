@@ -242,11 +242,11 @@ def taste_vectors(
 
 def user_state(
     ratings: DataFrame, vectors: DataFrame, slices: Slices,
-    fraction: float = USER_SAMPLE_FRACTION, seed: int = RANDOM_SEED,
+    fraction: float = USER_SAMPLE_FRACTION, seed: int = RANDOM_SEED, dim: int | None = None,
 ) -> DataFrame:
     """Taste vectors of the sampled users per iteration (I5): the stored state."""
     sampled = sample_users(ratings, slices, fraction, seed)
-    return taste_vectors(ratings, vectors, slices, users=sampled)
+    return taste_vectors(ratings, vectors, slices, users=sampled, dim=dim)
 
 
 def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices) -> DataFrame:
@@ -287,17 +287,18 @@ def recommend(
 
 def top_user_recommendations(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED,
+    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
 ) -> DataFrame:
+    """Top ``n`` unseen items for the picked top user of each iteration."""
     picked = pick_top_user(ratings, slices, seed)
-    taste = taste_vectors(ratings, vectors, slices, users=F.broadcast(picked))  # one user per iteration
+    taste = taste_vectors(ratings, vectors, slices, users=F.broadcast(picked), dim=dim)  # one user per iteration
     scores = score_items(taste, vectors, slices)
     return recommend(scores, seen_items(ratings, picked, slices), catalogue, n)
 
 
 def recommendations_with_fallback(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED,
+    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
 ) -> DataFrame:
     """Cold-user rows plus top-user rows per iteration.
 
@@ -306,7 +307,7 @@ def recommendations_with_fallback(
     """
     cold = cold_recommendations(ratings, catalogue, slices, n)
     picked = pick_top_user(ratings, slices, seed)
-    top = top_user_recommendations(ratings, vectors, catalogue, slices, n, seed)
+    top = top_user_recommendations(ratings, vectors, catalogue, slices, n, seed, dim)
     covered = top.select("iteration").distinct()
     fallback = (
         cold.join(F.broadcast(picked), "iteration")
@@ -325,11 +326,11 @@ def recommendations_with_fallback(
 
 def recommendation_documents(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    generated_at: str, n: int = TOP_N, seed: int = RANDOM_SEED,
+    generated_at: str, n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
 ) -> DataFrame:
     """Result documents: one cold and one top row per iteration, titles as an
     array in rank order (groups hold at most ``n`` rows)."""
-    recs = recommendations_with_fallback(ratings, vectors, catalogue, slices, n, seed)
+    recs = recommendations_with_fallback(ratings, vectors, catalogue, slices, n, seed, dim)
     lists = recs.groupBy("iteration", "user_type", "user_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", "title"))), lambda s: s["title"]

@@ -68,7 +68,8 @@ class Inputs:
 
     @cached_property
     def consolidated(self) -> DataFrame:
-        return jobs.consolidate(self.clean, self.zones, self.zprofile)
+        # same plan as jobs.consolidate(clean, zones, zprofile), reusing `enriched`
+        return jobs.apply_guardrails(self.enriched).dropna(subset=list(jobs.PROFILE_REQUIRED))
 
     @cached_property
     def ratings(self) -> DataFrame:
@@ -86,6 +87,17 @@ class Inputs:
     def slices(self) -> recsys.Slices:
         return recsys.Slices(testdata.LO, testdata.HI)
 
+    @property
+    def dim(self) -> int:
+        """Vector length, looked up once per session and directory."""
+        key = (id(self.spark), self.sf_dir)
+        if key not in _DIMS:
+            _DIMS[key] = recsys.embedding_dim(self.vectors)
+        return _DIMS[key]
+
+
+_DIMS: dict[tuple[int, str], int] = {}
+
 
 # ------------------------------------------------------------------- SQL stages
 _CLEAN = """clean AS (
@@ -675,7 +687,7 @@ def _liked(i: Inputs) -> DataFrame:
 SELECT t.iteration, t.user_id, t.n_vectors, CAST(t.dim - 1 AS INTEGER) AS dim, round(t.value, 6) AS value
 FROM taste t JOIN sampled s USING (iteration, user_id)""", _SAMPLED, _TASTE))
 def _taste(i: Inputs) -> DataFrame:
-    state = recsys.user_state(i.ratings, i.vectors, i.slices)
+    state = recsys.user_state(i.ratings, i.vectors, i.slices, dim=i.dim)
     return state.select("iteration", "user_id", "n_vectors", F.posexplode("embedding").alias("dim", "value")).withColumn(
         "value", F.round("value", 6))
 
@@ -684,7 +696,7 @@ def _taste(i: Inputs) -> DataFrame:
                                     _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
 def _cosine(i: Inputs) -> DataFrame:
     picked = recsys.pick_top_user(i.ratings, i.slices)
-    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices, users=F.broadcast(picked))
+    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices, users=F.broadcast(picked), dim=i.dim)
     return recsys.score_items(taste, i.vectors, i.slices).withColumn("sim", F.round("sim", 6))
 
 
@@ -692,7 +704,7 @@ def _cosine(i: Inputs) -> DataFrame:
 SELECT t.iteration, t.user_id, CAST(t.rank AS INTEGER) AS rank, t.item_id, m.title, round(t.sim, 6) AS sim
 FROM top5 t LEFT JOIN movies m USING (item_id)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
 def _recommend(i: Inputs) -> DataFrame:
-    return recsys.top_user_recommendations(i.ratings, i.vectors, i.movies, i.slices).withColumn(
+    return recsys.top_user_recommendations(i.ratings, i.vectors, i.movies, i.slices, dim=i.dim).withColumn(
         "sim", F.round("sim", 6))
 
 
@@ -708,7 +720,7 @@ SELECT c.iteration, 'top', p.user_id, CAST(c.rank AS INTEGER), c.item_id, m.titl
 FROM cold c JOIN movies m USING (item_id) JOIN picked p USING (iteration)
 WHERE c.iteration NOT IN (SELECT iteration FROM top5)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES, _POPULAR))
 def _fallback(i: Inputs) -> DataFrame:
-    return recsys.recommendations_with_fallback(i.ratings, i.vectors, i.movies, i.slices)
+    return recsys.recommendations_with_fallback(i.ratings, i.vectors, i.movies, i.slices, dim=i.dim)
 
 
 # Fixed value: result documents carry a caller-supplied generation time so that
@@ -718,7 +730,7 @@ GENERATED_AT = "1970-01-01T00:00:00Z"
 
 @register("recommendation_documents")
 def _documents(i: Inputs) -> DataFrame:
-    return recsys.recommendation_documents(i.ratings, i.vectors, i.movies, i.slices, GENERATED_AT)
+    return recsys.recommendation_documents(i.ratings, i.vectors, i.movies, i.slices, GENERATED_AT, dim=i.dim)
 
 
 @register("embed_text")

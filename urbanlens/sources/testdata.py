@@ -17,8 +17,18 @@ from pyspark.sql import functions as F
 from urbanlens.functions.scalar import utc_epoch
 
 
+_SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan of one driver table. The scan DataFrame (a plan, no data) is reused
+    per session so repeated queries skip file listing and footer reads."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    hit = _SCANS.get((id(spark), path))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _SCANS[(id(spark), path)] = hit
+    return hit[1]
 
 
 # --------------------------------------------------------------------------- trips
