@@ -1,6 +1,6 @@
 """Composite jobs (P1–P10), each a function of input DataFrames.
 
-Nothing here triggers an action except the explicit ``run_*`` writers; callers
+Nothing here triggers an action (the writers live in ``plans.run``); callers
 compose the returned DataFrames and Spark optimises each plan as a whole.
 """
 
@@ -164,12 +164,17 @@ class CongestionReport:
             sinks.write_report_csv(getattr(self, name), f"{out_dir}/{name}")
 
 
+# Columns the congestion report reads (everything else is pruned at the scan).
+REPORT_COLUMNS = tuple(sorted(
+    {c for _, c, _ in kpi.HOUR_BIN_METRICS} | set(kpi.FARE_CORRELATES.values())
+    | {"fare_amount", "Hour_Bin", "Is_Weekend", "pickup_boro"}
+))
+
+
 def congestion_report(features: DataFrame) -> CongestionReport:
     """P4. The four outputs share one pruned input; cache it when all four are
-    written (``features.cache()``) — each is a small aggregate."""
-    cols = sorted({c for _, c, _ in kpi.HOUR_BIN_METRICS} | set(kpi.FARE_CORRELATES.values()) | {
-        "fare_amount", "Hour_Bin", "Is_Weekend", "pickup_boro"})
-    f = features.select(*cols)
+    written (see ``run_congestion_report``) — each is a small aggregate."""
+    f = features.select(*REPORT_COLUMNS)
     return CongestionReport(kpi_by_hour_bin(f), kpi_by_zone(f), kpi_by_zone_period(f), kpi.correlations(f))
 
 
