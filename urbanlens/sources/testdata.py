@@ -19,14 +19,31 @@ from urbanlens.functions.scalar import utc_epoch
 
 _SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
+# Fact tables whose scans feed the row-level work (joins, expressions, partial
+# aggregates); the dimension tables are broadcast and need no parallelism.
+FACT_TABLES = ("lineitem", "events")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table. The scan DataFrame (a plan, no data) is reused
-    per session so repeated queries skip file listing and footer reads."""
+    per session so repeated queries skip file listing and footer reads.
+
+    The driver files hold one Parquet row group each, which the reader cannot
+    split: the whole fact table would be one task and every broadcast join and
+    expression over it would run on one core. When a fact scan yields fewer
+    partitions than the cluster's default parallelism it is spread round-robin
+    (deterministic: rows are sorted before the round-robin split). Inputs made
+    of many files / row groups — the normal case at scale — are left as scanned.
+    """
     path = os.path.join(sf_dir, f"{name}.parquet")
     hit = _SCANS.get((id(spark), path))
     if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
+        df = spark.read.parquet(path)
+        if name in FACT_TABLES:
+            want = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < want:
+                df = df.repartition(want)
+        hit = (spark, df)
         _SCANS[(id(spark), path)] = hit
     return hit[1]
 
