@@ -140,7 +140,7 @@ def test_recommend_excludes_seen_and_plans_group_limit(spark):
     got = [x.item_id for x in sorted(out, key=lambda x: x.rank) if x.iteration == 0]
     assert got == want
     plan = rec._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+    assert "WindowGroupLimit" in plan
 
 
 def test_fallback_when_top_user_has_no_vector(spark):
