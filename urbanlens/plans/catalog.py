@@ -369,6 +369,54 @@ def _summary_features(i: Inputs) -> DataFrame:
     return quality.describe(i.consolidated, _SUMMARY_COLS, _SUMMARY_STATS, digits=6)
 
 
+_SENSOR_ALL = ["SegmentID", "Boro", "street", "Yr", "M", "D", "HH", "MM", "Vol"]
+
+
+@register("null_counts_sensors", with_views(
+    "SELECT " + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _SENSOR_ALL) + " FROM sensors",
+    "sensors"))
+def _null_counts_sensors(i: Inputs) -> DataFrame:
+    return quality.null_counts(i.sensors)
+
+
+_FEATURE_NULL_COLS = ["pickup_boro", "dropoff_boro", "pickup_avg_median_volume", "dropoff_avg_median_volume",
+                      "trip_duration", "average_velocity", "traffic_distance_interaction"]
+
+
+@register("null_counts_features", _trip_sql(
+    "SELECT " + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _FEATURE_NULL_COLS)
+    + " FROM guarded", "guarded"))
+def _null_counts_features(i: Inputs) -> DataFrame:
+    return quality.null_counts(jobs.apply_guardrails(i.enriched), _FEATURE_NULL_COLS)
+
+
+@register("summary_features_prefilter", _trip_sql(_describe_sql("enriched", _SUMMARY_COLS, _SUMMARY_STATS), "enriched"))
+def _summary_prefilter(i: Inputs) -> DataFrame:
+    return quality.describe(i.enriched, _SUMMARY_COLS, _SUMMARY_STATS, digits=6)
+
+
+@register("rows_removed_unmapped", _trip_sql("""
+SELECT CAST(count(*) AS BIGINT) AS rows_before,
+       CAST(count_if(pickup_avg_median_volume IS NOT NULL AND dropoff_avg_median_volume IS NOT NULL) AS BIGINT) AS rows_after,
+       CAST(count_if(pickup_avg_median_volume IS NULL OR dropoff_avg_median_volume IS NULL) AS BIGINT) AS rows_removed
+FROM guarded""", "guarded"))
+def _rows_removed_unmapped(i: Inputs) -> DataFrame:
+    keep = F.col("pickup_avg_median_volume").isNotNull() & F.col("dropoff_avg_median_volume").isNotNull()
+    return quality.rows_removed(jobs.apply_guardrails(i.enriched), keep)
+
+
+@register("hour_bin_frequency", _trip_sql(
+    "SELECT Hour_Bin, CAST(count(*) AS BIGINT) AS n_rows FROM consolidated GROUP BY Hour_Bin"))
+def _hour_bin_frequency(i: Inputs) -> DataFrame:
+    return quality.frequency(i.consolidated, "Hour_Bin", alias="n_rows")
+
+
+@register("weekend_frequency", _trip_sql(
+    "SELECT Is_Weekend, CAST(count(*) AS BIGINT) AS n_rows FROM consolidated GROUP BY Is_Weekend"))
+def _weekend_frequency(i: Inputs) -> DataFrame:
+    return quality.frequency(i.consolidated, "Is_Weekend", order="key", alias="n_rows")
+
+
 # ---- sensors (B5–B7, H1–H6, D4, D5, D12–D15, F6) ------------------------------
 @register("malformed_volume", with_views(
     r"SELECT CAST(count_if(NOT regexp_full_match(Vol, '-?\d+')) AS BIGINT) AS malformed_rows FROM sensors", "sensors"))
@@ -391,6 +439,15 @@ def _timestamp_assembly(i: Inputs) -> DataFrame:
                     F.date_format("traffic_timestamp", "yyyy-MM-dd HH:mm:ss").alias("traffic_time"), "day_of_week")
 
 
+@register("describe_sensor_volume", _sensor_sql(
+    _describe_sql("(SELECT TRY_CAST(regexp_replace(Vol, ',', '', 'g') AS INTEGER) AS volume FROM sensors)",
+                  ["volume"], _DESCRIBE_STATS), "sensors_parsed"))
+def _describe_volume(i: Inputs) -> DataFrame:
+    from urbanlens.functions import parse_int
+
+    return quality.describe(i.sensors.select(parse_int("Vol").alias("volume")), ["volume"], _DESCRIBE_STATS, digits=6)
+
+
 @register("sensor_frequency_by_zone", with_views(
     "SELECT Boro, CAST(count(*) AS BIGINT) AS n_rows FROM sensors GROUP BY Boro", "sensors"))
 def _freq_zone(i: Inputs) -> DataFrame:
