@@ -177,8 +177,9 @@ def sample_users(
     ratings: DataFrame, slices: Slices, fraction: float = USER_SAMPLE_FRACTION, seed: int = RANDOM_SEED
 ) -> DataFrame:
     """Exact-size user sample per iteration, md5 seed ``seed + iteration``."""
-    keys = iteration_keys(ratings, slices, "user_id")
-    return sample_keys(keys, "user_id", fraction, seed, groups=["iteration"], seed_offset="iteration")
+    keys = iteration_keys(ratings, slices, "user_id")  # one row per (iteration, user) by construction
+    return sample_keys(keys, "user_id", fraction, seed, groups=["iteration"], seed_offset="iteration",
+                       assume_distinct=True)
 
 
 def liked_with_vectors(
@@ -336,7 +337,9 @@ def recommendation_documents(
             F.array_sort(F.collect_list(F.struct("rank", "title"))), lambda s: s["title"]
         ).alias("Recommendations")
     )
-    stats = user_stats(ratings, slices)
+    picked = pick_top_user(ratings, slices, seed)  # one user per iteration
+    mine = ratings.join(F.broadcast(picked.select("user_id").distinct()), "user_id", "left_semi")
+    stats = user_stats(mine, slices).join(F.broadcast(picked), ["iteration", "user_id"], "left_semi")
     docs = lists.join(stats, ["iteration", "user_id"], "left")
     return docs.select(
         F.when(F.col("user_type") == "cold", "cold").otherwise("top").alias("User_Type"),
