@@ -652,15 +652,17 @@ def _hash_split(i: Inputs) -> DataFrame:
         test.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("test").alias("split"), "n_rows"))
 
 
-_MODEL_CACHE: dict[tuple[int, str], jobs.FareModel] = {}
+_MODEL_CACHE: dict[tuple[int, str], tuple[SparkSession, jobs.FareModel]] = {}
 
 
 def _fare_model(i: Inputs) -> jobs.FareModel:
     """One fit per session and data directory, shared by the four model queries."""
     key = (id(i.spark), i.sf_dir)
-    if key not in _MODEL_CACHE:
-        _MODEL_CACHE[key] = jobs.fare_model(i.spark, i.consolidated)
-    return _MODEL_CACHE[key]
+    hit = _MODEL_CACHE.get(key)
+    if hit is None or hit[0] is not i.spark:
+        hit = (i.spark, jobs.fare_model(i.spark, i.consolidated))
+        _MODEL_CACHE[key] = hit
+    return hit[1]
 
 
 @register("fare_model_metrics")
