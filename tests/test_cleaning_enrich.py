@@ -86,7 +86,7 @@ def test_lookup_both_roles_and_profiles(spark, lookup_tables):
     assert out[3].pickup_avg_median_volume is None  # unmatched zone -> NULL
     assert [r.trip_id for r in enrich.filter_cross_zone(z).collect()] == [1]
     plan = p._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") >= 4
+    assert plan.count("BroadcastHashJoin") >= 3
 
 
 def test_assert_unique_rejects_duplicate_key(spark):
@@ -101,3 +101,18 @@ def test_join_audit(spark, lookup_tables):
     z = jobs.with_zones(trips, zones)
     audit = {r.metric: r.value for r in enrich.join_audit(trips, z, ["pickup_boro", "dropoff_boro"]).collect()}
     assert audit == {"rows_before": 3, "rows_after": 3, "unmatched_pickup_boro": 1, "unmatched_dropoff_boro": 0}
+
+
+def test_profile_by_zone_equals_one_join_per_role(spark, lookup_tables):
+    trips, zones, profile = lookup_tables
+    z = jobs.with_zones(trips, zones)
+    one = enrich.attach_profile_by_zone(
+        z, profile, {"pickup_day_of_week": "day_of_week", "pickup_hour": "HH"}, "Boro",
+        {"pu": ("pickup_boro", {"boro_avg_median_volume": "pu_avg", "boro_volume_stddev": "pu_sd"}),
+         "do": ("dropoff_boro", {"boro_max_volume": "do_max"})},
+    )
+    a = enrich.attach_profile(z, profile, {"pickup_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
+                              {"boro_avg_median_volume": "pu_avg", "boro_volume_stddev": "pu_sd"})
+    two = enrich.attach_profile(a, profile, {"dropoff_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
+                                {"boro_max_volume": "do_max"})
+    assert rows(one) == rows(two.select(*one.columns))

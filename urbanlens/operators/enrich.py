@@ -69,6 +69,47 @@ def attach_profile(
     return fact.join(p, cond, "left").drop(*tmp.values())
 
 
+def attach_profile_by_zone(
+    fact: DataFrame,
+    profile: DataFrame,
+    shared_on: Mapping[str, str],
+    zone_col: str,
+    roles: Mapping[str, tuple[str, Mapping[str, str]]],
+) -> DataFrame:
+    """One profile, several zone roles, one join.
+
+    ``profile`` has one row per (``zone_col``, shared keys). It is reshaped to one
+    row per shared key with a map ``zone -> metrics`` (at most as many entries as
+    there are zones — a bounded group), broadcast once, and each role reads its
+    zone from the map. Equivalent to one left join per role on
+    (role zone column, shared keys), but the profile is computed and shipped once.
+
+    ``shared_on``: fact column -> profile column (e.g. pickup weekday/hour);
+    ``roles``: role name -> (fact zone column, {profile metric: output column}).
+    """
+    metric_cols = sorted({m for _, metrics in roles.values() for m in metrics})
+    tmp = {pc: f"__ps_{i}" for i, pc in enumerate(shared_on.values())}
+    by_key = (
+        profile.filter(F.col(zone_col).isNotNull())
+        .groupBy(*[F.col(pc).alias(tmp[pc]) for pc in shared_on.values()])
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.struct(F.col(zone_col), F.struct(*[F.col(m) for m in metric_cols])))
+            ).alias("__pm")
+        )
+    )
+    cond = None
+    for fc, pc in shared_on.items():
+        c = fact[fc] == F.col(tmp[pc])
+        cond = c if cond is None else cond & c
+    j = fact.join(F.broadcast(by_key), cond, "left")
+    outs = []
+    for fact_zone, metrics in roles.values():
+        hit = F.try_element_at(F.col("__pm"), F.col(fact_zone))
+        outs += [hit[m].alias(out) for m, out in metrics.items()]
+    return j.select(*fact.columns, *outs)
+
+
 def filter_cross_zone(df: DataFrame, a: str = "pickup_boro", b: str = "dropoff_boro") -> DataFrame:
     """Trips whose two ends lie in different zones (NULL ends are excluded)."""
     return df.filter(F.col(a) != F.col(b))

@@ -80,24 +80,23 @@ def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 def with_profiles(trips: DataFrame, zprofile: DataFrame) -> DataFrame:
     """Pickup profile (3 metrics) and dropoff profile (2 metrics); the dropoff
-    side is matched on the *pickup* weekday and hour (C3, C4)."""
-    t = enrich.attach_profile(
+    side is matched on the *pickup* weekday and hour (C3, C4). Both roles read
+    one broadcast copy of the profile keyed by (weekday, hour)."""
+    return enrich.attach_profile_by_zone(
         trips,
         zprofile,
-        on={"pickup_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
-        metrics={
-            "boro_avg_median_volume": "pickup_avg_median_volume",
-            "boro_max_volume": "pickup_max_volume",
-            "boro_volume_stddev": "pickup_volume_stddev",
-        },
-    )
-    return enrich.attach_profile(
-        t,
-        zprofile,
-        on={"dropoff_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
-        metrics={
-            "boro_avg_median_volume": "dropoff_avg_median_volume",
-            "boro_max_volume": "dropoff_max_volume",
+        shared_on={"pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
+        zone_col="Boro",
+        roles={
+            "pickup": ("pickup_boro", {
+                "boro_avg_median_volume": "pickup_avg_median_volume",
+                "boro_max_volume": "pickup_max_volume",
+                "boro_volume_stddev": "pickup_volume_stddev",
+            }),
+            "dropoff": ("dropoff_boro", {
+                "boro_avg_median_volume": "dropoff_avg_median_volume",
+                "boro_max_volume": "dropoff_max_volume",
+            }),
         },
     )
 
