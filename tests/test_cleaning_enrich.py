@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from urbanlens.operators import cleaning, enrich
 from urbanlens.plans import jobs

@@ -4,7 +4,6 @@ import hashlib
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from urbanlens.functions import round_half_even
 from urbanlens.operators import cleaning, recsys, sampling

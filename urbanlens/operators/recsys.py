@@ -250,13 +250,15 @@ def user_state(
     return taste_vectors(ratings, vectors, slices, users=sampled, dim=dim)
 
 
-def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices) -> DataFrame:
+def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices, distinct: bool = True) -> DataFrame:
     """``(iteration, user_id, item_id)`` already rated by the given per-iteration
-    users (G2). ``users`` has one row per iteration: broadcast."""
+    users (G2). ``users`` has one row per iteration: broadcast. ``distinct=False``
+    skips the de-duplication shuffle when the result only feeds an anti join."""
     u = F.broadcast(users.select("iteration", "user_id"))
     mine = ratings.join(F.broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
     rows = cumulative_slice_rows(mine.select("user_id", "item_id", "ts"), slices)
-    return rows.join(u, ["iteration", "user_id"], "left_semi").select("iteration", "user_id", "item_id").distinct()
+    out = rows.join(u, ["iteration", "user_id"], "left_semi").select("iteration", "user_id", "item_id")
+    return out.distinct() if distinct else out
 
 
 def score_items(user_vectors: DataFrame, vectors: DataFrame, slices: Slices) -> DataFrame:
@@ -294,7 +296,7 @@ def top_user_recommendations(
     picked = pick_top_user(ratings, slices, seed)
     taste = taste_vectors(ratings, vectors, slices, users=F.broadcast(picked), dim=dim)  # one user per iteration
     scores = score_items(taste, vectors, slices)
-    return recommend(scores, seen_items(ratings, picked, slices), catalogue, n)
+    return recommend(scores, seen_items(ratings, picked, slices, distinct=False), catalogue, n)
 
 
 def recommendations_with_fallback(
