@@ -49,10 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; it is never replaced.
-    Only when the setting is absent — local tests — a scratch folder is created.
+    Only a local-mode session (tests) without the setting gets a scratch folder;
+    on a cluster a machine-local folder would not survive executor loss, so the
+    setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="urbanlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
