@@ -84,7 +84,8 @@ def slice_summary(ratings: DataFrame, slices: Slices) -> DataFrame:
     n_items = expand_iterations(items.withColumnRenamed("iteration", "segment"), slices).groupBy(
         "iteration"
     ).agg(F.count(F.lit(1)).alias("n_items"))
-    return rows.join(n_users, "iteration").join(n_items, "iteration")
+    # each side holds one row per iteration: broadcast is size-safe
+    return rows.join(F.broadcast(n_users), "iteration").join(F.broadcast(n_items), "iteration")
 
 
 def first_iteration(seg: DataFrame, key: str, slices: Slices) -> DataFrame:
