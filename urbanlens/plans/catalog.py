@@ -272,12 +272,14 @@ def register(name: str, sql: str | None = None):
 
 
 # ---- quality / ingest (A16, D1, D2, D3, D10, D11, D24) -----------------------
-_DUCK_TYPES = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' " \
-    "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"
+_DUCK_TYPES = ("CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int' "
+               "WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type = 'VARCHAR' THEN 'string' "
+               "WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '%TIME ZONE%' THEN 'timestamp_ntz' "
+               "ELSE lower(data_type) END")
 
 
 @register("table_report_counts", f"""
-SELECT column_name, {_DUCK_TYPES} AS data_type, CAST(ordinal_position AS INTEGER) AS ordinal_position,
+SELECT DISTINCT column_name, {_DUCK_TYPES} AS data_type, CAST(ordinal_position AS INTEGER) AS ordinal_position,
        (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS row_count
 FROM information_schema.columns WHERE table_name = 'lineitem'
 """)
