@@ -52,3 +52,10 @@ def test_workflow_end_to_end(spark, scratch):
     docs = spark.read.json(p("recs"))
     assert docs.count() == 2 * slices.n
     assert docs.filter(F.size("Recommendations") == 5).count() == 2 * slices.n
+    # with the stored state the documents are the same (stored = recomputed vectors)
+    run.run_recommendations(spark, p("ratings.dat"), p("vectors"), p("catalogue"), p("recs_state"), slices,
+                            generated_at="2024-01-01T00:00:00Z", state_dir=p("state"))
+    cols = ["iteration", "User_Type", "Num_Ratings", "Recommendations"]
+    a = sorted(tuple(r) for r in docs.select(*cols).collect())
+    b = sorted(tuple(r) for r in spark.read.json(p("recs_state")).select(*cols).collect())
+    assert a == b

@@ -178,3 +178,13 @@ def test_documents_shape(spark, n):
         if d.User_Type == "cold":
             assert d.Num_Ratings == 0 and d.Avg_Rating is None
     assert dict(docs.dtypes)["Recommendations"] == "array<string>"
+
+
+def test_stored_state_preferred_over_recompute(spark):
+    r = ratings_fixture(spark)
+    v, _ = vectors_fixture(spark)
+    users = spark.createDataFrame([(0, 1), (1, 2)], "iteration int, user_id long")
+    state = spark.createDataFrame([(0, 1, 7, [0.0, 0.0, 1.0])], "iteration int, user_id long, n_vectors long, embedding array<double>")
+    got = {(x.iteration, x.user_id): (x.n_vectors, x.embedding) for x in recsys.user_vectors_for(r, v, SLICES, users, state).collect()}
+    assert got[(0, 1)] == (7, [0.0, 0.0, 1.0])  # stored wins
+    assert got[(1, 2)][0] == 1  # not stored: recomputed from user 2's one liked vector

@@ -289,20 +289,37 @@ def recommend(
     )
 
 
+def user_vectors_for(
+    ratings: DataFrame, vectors: DataFrame, slices: Slices, users: DataFrame,
+    state: DataFrame | None = None, dim: int | None = None,
+) -> DataFrame:
+    """Vectors of the given per-iteration users (C8): the stored state where it
+    has the user, otherwise recomputed from the ratings; users without any liked
+    vector stay absent (the caller falls back to popularity)."""
+    recomputed = taste_vectors(ratings, vectors, slices, users=users, dim=dim)
+    if state is None:
+        return recomputed
+    stored = state.select("iteration", "user_id", "n_vectors", "embedding").join(
+        users.select("iteration", "user_id"), ["iteration", "user_id"], "left_semi"
+    )
+    missing = recomputed.join(stored.select("iteration", "user_id"), ["iteration", "user_id"], "left_anti")
+    return stored.unionByName(missing)
+
+
 def top_user_recommendations(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
+    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None, state: DataFrame | None = None,
 ) -> DataFrame:
     """Top ``n`` unseen items for the picked top user of each iteration."""
-    picked = pick_top_user(ratings, slices, seed)
-    taste = taste_vectors(ratings, vectors, slices, users=F.broadcast(picked), dim=dim)  # one user per iteration
+    picked = F.broadcast(pick_top_user(ratings, slices, seed))  # one user per iteration
+    taste = user_vectors_for(ratings, vectors, slices, picked, state, dim)
     scores = score_items(taste, vectors, slices)
     return recommend(scores, seen_items(ratings, picked, slices, distinct=False), catalogue, n)
 
 
 def recommendations_with_fallback(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
+    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None, state: DataFrame | None = None,
 ) -> DataFrame:
     """Cold-user rows plus top-user rows per iteration.
 
@@ -311,7 +328,7 @@ def recommendations_with_fallback(
     """
     cold = cold_recommendations(ratings, catalogue, slices, n)
     picked = pick_top_user(ratings, slices, seed)
-    top = top_user_recommendations(ratings, vectors, catalogue, slices, n, seed, dim)
+    top = top_user_recommendations(ratings, vectors, catalogue, slices, n, seed, dim, state)
     covered = top.select("iteration").distinct()
     fallback = (
         cold.join(F.broadcast(picked), "iteration")
@@ -331,10 +348,11 @@ def recommendations_with_fallback(
 def recommendation_documents(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
     generated_at: str, n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Result documents: one cold and one top row per iteration, titles as an
     array in rank order (groups hold at most ``n`` rows)."""
-    recs = recommendations_with_fallback(ratings, vectors, catalogue, slices, n, seed, dim)
+    recs = recommendations_with_fallback(ratings, vectors, catalogue, slices, n, seed, dim, state)
     lists = recs.groupBy("iteration", "user_type", "user_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", "title"))), lambda s: s["title"]

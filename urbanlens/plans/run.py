@@ -147,13 +147,16 @@ def run_user_state(
 # ---------------------------------------------------------------------- P10
 def run_recommendations(
     spark: SparkSession, ratings_path: str, vectors_dir: str, catalogue_dir: str, out_dir: str,
-    slices: recsys.Slices = DEFAULT_SLICES, generated_at: str | None = None,
+    slices: recsys.Slices = DEFAULT_SLICES, generated_at: str | None = None, state_dir: str | None = None,
 ) -> None:
+    """Result documents; the top user's vector comes from the stored state when
+    ``state_dir`` holds it, else it is recomputed from the ratings."""
     ratings = readers.load_ratings(spark, ratings_path)
     vectors = readers.read_vectors(spark, vectors_dir)
     catalogue = readers.read_parquet(spark, catalogue_dir)
+    state = readers.read_state(spark, state_dir) if state_dir else None
     stamp = generated_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    docs = recsys.recommendation_documents(ratings, vectors, catalogue, slices, stamp)
+    docs = recsys.recommendation_documents(ratings, vectors, catalogue, slices, stamp, state=state)
     sinks.write_recommendations_json(docs, out_dir)
 
 
@@ -176,6 +179,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--force", action="store_true")
     a = sub.add_parser("user-state"); [a.add_argument(x) for x in ("ratings", "vectors", "state")]
     a = sub.add_parser("recommendations"); [a.add_argument(x) for x in ("ratings", "vectors", "catalogue", "out")]
+    a.add_argument("--state")
     args = p.parse_args(argv)
     spark = build_session(master=None)
     if args.job == "clean-trips":
@@ -197,7 +201,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "user-state":
         run_user_state(spark, args.ratings, args.vectors, args.state)
     elif args.job == "recommendations":
-        run_recommendations(spark, args.ratings, args.vectors, args.catalogue, args.out)
+        run_recommendations(spark, args.ratings, args.vectors, args.catalogue, args.out, state_dir=args.state)
 
 
 if __name__ == "__main__":
