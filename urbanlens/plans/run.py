@@ -155,7 +155,8 @@ def run_recommendations(
     vectors = readers.read_vectors(spark, vectors_dir)
     catalogue = readers.read_parquet(spark, catalogue_dir)
     state = readers.read_state(spark, state_dir) if state_dir else None
-    stamp = generated_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    # default stamp: ISO time in UTC with microseconds and a "Z" suffix
+    stamp = generated_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z"
     docs = recsys.recommendation_documents(ratings, vectors, catalogue, slices, stamp, state=state)
     sinks.write_recommendations_json(docs, out_dir)
 
