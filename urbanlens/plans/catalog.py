@@ -419,6 +419,29 @@ def _weekend_frequency(i: Inputs) -> DataFrame:
     return quality.frequency(i.consolidated, "Is_Weekend", order="key", alias="n_rows")
 
 
+# The inspection job's wish list (its capitalisation differs from
+# the real column names; matching is case-insensitive) and name fragments.
+_INSPECT_NAMES = ["fare_amount", "trip_distance", "trip_duration", "Average_velocity", "Traffic_distance_interaction"]
+_INSPECT_FRAGMENTS = ["traffic", "volume"]
+_INSPECT_MATCHED = ["fare_amount", "trip_distance", "trip_duration", "average_velocity", "traffic_distance_interaction"]
+_TRAFFIC_MATCHED = ["pickup_avg_median_volume", "pickup_max_volume", "pickup_volume_stddev",
+                    "dropoff_avg_median_volume", "dropoff_max_volume", "traffic_distance_interaction"]
+
+
+@register("describe_features", _trip_sql(_describe_sql("consolidated", _INSPECT_MATCHED, _DESCRIBE_STATS)))
+def _describe_features(i: Inputs) -> DataFrame:
+    cols = quality.columns_matching(i.consolidated, names=_INSPECT_NAMES)
+    return quality.describe(i.consolidated, cols, _DESCRIBE_STATS, digits=6)
+
+
+@register("null_counts_traffic_columns", _trip_sql(
+    "SELECT " + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _TRAFFIC_MATCHED)
+    + " FROM consolidated"))
+def _null_counts_traffic(i: Inputs) -> DataFrame:
+    cols = quality.columns_matching(i.consolidated, contains=_INSPECT_FRAGMENTS)
+    return quality.null_counts(i.consolidated, cols)
+
+
 # ---- sensors (B5–B7, H1–H6, D4, D5, D12–D15, F6) ------------------------------
 @register("malformed_volume", with_views(
     r"SELECT CAST(count_if(NOT regexp_full_match(Vol, '-?\d+')) AS BIGINT) AS malformed_rows FROM sensors", "sensors"))
