@@ -59,3 +59,20 @@ def test_workflow_end_to_end(spark, scratch):
     a = sorted(tuple(r) for r in docs.select(*cols).collect())
     b = sorted(tuple(r) for r in spark.read.json(p("recs_state")).select(*cols).collect())
     assert a == b
+
+
+def test_cli_clean_trips(spark, scratch):
+    import subprocess
+    import sys
+
+    src, dst = os.path.join(scratch, "raw"), os.path.join(scratch, "clean")
+    testdata.trips(spark, SF_SMALL).write.parquet(src)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": repo}
+    out = subprocess.run([sys.executable, "-m", "urbanlens.plans.run", "clean-trips", src, dst],
+                         cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "rows_removed" in out.stdout
+    assert spark.read.parquet(dst).count() == spark.read.parquet(src).filter(
+        "fare_amount > 0 AND fare_amount <= 800 AND trip_distance > 0 AND trip_distance <= 100 "
+        "AND passenger_count > 0").count()
