@@ -72,3 +72,14 @@ def test_no_registered_query_builds_all_pairs(spark):
             if op in plan:
                 bad[name] = op
     assert not bad, bad
+
+
+def test_hot_key_aggregations_run_partial_first(spark):
+    """A user or sensor group holding a third of all rows is combined per task
+    before the shuffle: the vector sums and exact medians have partial phases."""
+    i = catalog.Inputs(spark, SF_SMALL)
+    taste = plan_of(recsys.taste_vectors(i.ratings, i.vectors, i.slices, dim=i.dim))
+    assert "partial_sum" in taste and "partial_count" in taste
+    assert "collect_list" not in taste
+    median = plan_of(jobs.sensor_profile(i.sensors))
+    assert "partial_percentile_disc" in median
