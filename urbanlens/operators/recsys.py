@@ -104,12 +104,50 @@ def iteration_keys(ratings: DataFrame, slices: Slices, key: str = "user_id") ->
     return expand_iterations(first.withColumnRenamed("iteration", "segment"), slices)
 
 
+def cumulative_aggregate(
+    seg: DataFrame, keys: Sequence[str], slices: Slices, aggs: dict[str, tuple[str, str | None]]
+) -> DataFrame:
+    """Per key and iteration, aggregates over the cumulative slice, in ONE shuffle.
+
+    The iteration count is known when the plan is built, so each output is one
+    conditional aggregate per iteration (``segment <= i``), computed by a single
+    hash aggregate on ``keys`` (partial phase per task: a hot key is combined
+    map-side); the per-iteration columns are then unpivoted without a shuffle.
+    ``aggs``: output name -> (function, column) with function in count/sum/max.
+    Rows for iterations in which the key has no data are dropped.
+    """
+    cols = []
+    for i in range(slices.n):
+        inside = F.col("segment") <= i
+        for name, (fn, col) in aggs.items():
+            if fn == "count":
+                expr = F.count_if(inside)
+            elif fn == "sum":
+                expr = F.sum(F.when(inside, F.col(col)))
+            elif fn == "max":
+                expr = F.max(F.when(inside, F.col(col)))
+            else:
+                raise ValueError(f"unsupported aggregate {fn!r}")
+            cols.append(expr.alias(f"__{name}_{i}"))
+    wide = seg.groupBy(*keys).agg(*cols)
+    per_it = F.array(*[
+        F.struct(F.lit(i).alias("iteration"), *[F.col(f"__{name}_{i}").alias(name) for name in aggs])
+        for i in range(slices.n)
+    ])
+    first = next(name for name, (fn, _) in aggs.items() if fn == "count")
+    return (
+        wide.select(*keys, F.explode(per_it).alias("__it"))
+        .select("__it.iteration", *keys, *[F.col(f"__it.{name}").alias(name) for name in aggs])
+        .filter(F.col(first) > 0)
+    )
+
+
 def popularity(ratings: DataFrame, slices: Slices, catalogue: DataFrame | None = None) -> DataFrame:
     """``(iteration, item_id, n_ratings)``; restricted to catalogue items."""
-    seg = assign_segment(ratings, slices).groupBy("segment", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    if catalogue is not None:
-        seg = seg.join(catalogue.select("item_id"), "item_id", "left_semi")
-    return expand_iterations(seg, slices).groupBy("iteration", "item_id").agg(F.sum("n").alias("n_ratings"))
+    pop = cumulative_aggregate(assign_segment(ratings, slices), ["item_id"], slices, {"n_ratings": ("count", None)})
+    if catalogue is not None:  # after aggregating: joins per-item rows, not ratings
+        pop = pop.join(catalogue.select("item_id"), "item_id", "left_semi")
+    return pop
 
 
 def top_per_group(
@@ -135,11 +173,11 @@ def cold_recommendations(
 
 def user_counts(ratings: DataFrame, slices: Slices) -> DataFrame:
     """``(iteration, user_id, n_ratings, rating_sum, last_ts)`` per cumulative slice."""
-    seg = assign_segment(ratings, slices).groupBy("segment", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"), F.max("ts").alias("t")
-    )
-    return expand_iterations(seg, slices).groupBy("iteration", "user_id").agg(
-        F.sum("n").alias("n_ratings"), F.sum("s").alias("rating_sum"), F.max("t").alias("last_ts")
+    return cumulative_aggregate(
+        assign_segment(ratings, slices),
+        ["user_id"],
+        slices,
+        {"n_ratings": ("count", None), "rating_sum": ("sum", "rating"), "last_ts": ("max", "ts")},
     )
 
 
