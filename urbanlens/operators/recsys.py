@@ -66,24 +66,21 @@ def cumulative_slice_rows(ratings: DataFrame, slices: Slices) -> DataFrame:
 
 
 def slice_summary(ratings: DataFrame, slices: Slices) -> DataFrame:
-    """Per iteration: ratings, distinct users, distinct items, first/last ts."""
+    """Per iteration: ratings, distinct users, distinct items, first/last ts.
+
+    Distinct keys are counted from each key's first iteration (one aggregate per
+    key), then every count is one global conditional aggregate per iteration.
+    """
     seg = assign_segment(ratings, slices)
-    rows = expand_iterations(
-        seg.groupBy("segment").agg(
-            F.count(F.lit(1)).alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")
-        ),
-        slices,
-    ).groupBy("iteration").agg(
-        F.sum("n").alias("n_ratings"), F.min("lo").alias("first_ts"), F.max("hi").alias("last_ts")
+    rows = cumulative_aggregate(
+        seg, [], slices,
+        {"n_ratings": ("count", None), "first_ts": ("min", "ts"), "last_ts": ("max", "ts")},
     )
-    users = first_iteration(seg, "user_id", slices)
-    items = first_iteration(seg, "item_id", slices)
-    n_users = expand_iterations(users.withColumnRenamed("iteration", "segment"), slices).groupBy(
-        "iteration"
-    ).agg(F.count(F.lit(1)).alias("n_users"))
-    n_items = expand_iterations(items.withColumnRenamed("iteration", "segment"), slices).groupBy(
-        "iteration"
-    ).agg(F.count(F.lit(1)).alias("n_items"))
+    firsts = {
+        k: first_iteration(seg, k, slices).withColumnRenamed("iteration", "segment") for k in ("user_id", "item_id")
+    }
+    n_users = cumulative_aggregate(firsts["user_id"], [], slices, {"n_users": ("count", None)})
+    n_items = cumulative_aggregate(firsts["item_id"], [], slices, {"n_items": ("count", None)})
     # each side holds one row per iteration: broadcast is size-safe
     return rows.join(F.broadcast(n_users), "iteration").join(F.broadcast(n_items), "iteration")
 
@@ -113,7 +110,8 @@ def cumulative_aggregate(
     conditional aggregate per iteration (``segment <= i``), computed by a single
     hash aggregate on ``keys`` (partial phase per task: a hot key is combined
     map-side); the per-iteration columns are then unpivoted without a shuffle.
-    ``aggs``: output name -> (function, column) with function in count/sum/max.
+    ``aggs``: output name -> (function, column); functions: ``count`` (rows),
+    ``count_col`` (non-NULL values), ``sum``, ``min``, ``max``.
     Rows for iterations in which the key has no data are dropped.
     """
     cols = []
@@ -122,8 +120,12 @@ def cumulative_aggregate(
         for name, (fn, col) in aggs.items():
             if fn == "count":
                 expr = F.count_if(inside)
+            elif fn == "count_col":
+                expr = F.count(F.when(inside, F.col(col)))
             elif fn == "sum":
                 expr = F.sum(F.when(inside, F.col(col)))
+            elif fn == "min":
+                expr = F.min(F.when(inside, F.col(col)))
             elif fn == "max":
                 expr = F.max(F.when(inside, F.col(col)))
             else:
@@ -227,11 +229,9 @@ def liked_with_vectors(
     """Per iteration and user: liked ratings and how many of them have a vector."""
     liked = assign_segment(ratings.filter(F.col("rating") >= min_rating), slices)
     has_vec = vectors.select("item_id").withColumn("__v", F.lit(1))
-    seg = liked.join(has_vec, "item_id", "left").groupBy("segment", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count("__v").alias("nv")
-    )
-    return expand_iterations(seg, slices).groupBy("iteration", "user_id").agg(
-        F.sum("n").alias("n_liked"), F.sum("nv").alias("n_liked_with_vector")
+    return cumulative_aggregate(
+        liked.join(has_vec, "item_id", "left"), ["user_id"], slices,
+        {"n_liked": ("count", None), "n_liked_with_vector": ("count_col", "__v")},
     )
 
 
