@@ -294,9 +294,11 @@ def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices, distinct: b
     users (G2). ``users`` has one row per iteration: broadcast. ``distinct=False``
     skips the de-duplication shuffle when the result only feeds an anti join."""
     u = F.broadcast(users.select("iteration", "user_id"))
-    mine = ratings.join(F.broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
-    rows = cumulative_slice_rows(mine.select("user_id", "item_id", "ts"), slices)
-    out = rows.join(u, ["iteration", "user_id"], "left_semi").select("iteration", "user_id", "item_id")
+    mine = assign_segment(ratings.select("user_id", "item_id", "ts"), slices)
+    # a rating of segment s belongs to every iteration >= s
+    out = mine.join(u, "user_id").filter(F.col("segment") <= F.col("iteration")).select(
+        "iteration", "user_id", "item_id"
+    )
     return out.distinct() if distinct else out
 
 
