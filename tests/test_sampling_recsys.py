@@ -188,3 +188,10 @@ def test_stored_state_preferred_over_recompute(spark):
     got = {(x.iteration, x.user_id): (x.n_vectors, x.embedding) for x in recsys.user_vectors_for(r, v, SLICES, users, state).collect()}
     assert got[(0, 1)] == (7, [0.0, 0.0, 1.0])  # stored wins
     assert got[(1, 2)][0] == 1  # not stored: recomputed from user 2's one liked vector
+
+
+def test_split_label_agrees_with_split(spark):
+    df = spark.range(500).withColumnRenamed("id", "k")
+    a, _ = sampling.hash_split(df, ["k"], 0.8, 42)
+    labelled = {r.k for r in df.filter(sampling.hash_split_label(["k"], 0.8, 42) == "train").collect()}
+    assert labelled == {r.k for r in a.collect()}

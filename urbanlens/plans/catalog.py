@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from urbanlens.functions import malformed_numeric
 from urbanlens.functions.hashing import hash_threshold
 from urbanlens.operators import cleaning, enrich, kpi, model, profile, quality, recsys, text
-from urbanlens.operators.sampling import hash_split
+from urbanlens.operators.sampling import hash_split_label
 from urbanlens.plans import jobs
 from urbanlens.sources import testdata
 from urbanlens.sources.testdata import with_views
@@ -674,9 +674,8 @@ SELECT CASE WHEN substr(md5('{SEED}:' || CAST(trip_id AS VARCHAR)), 1, 8) < '{_T
        CAST(count(*) AS BIGINT) AS n_rows
 FROM consolidated WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _MODEL_REQUIRED)} GROUP BY split"""))
 def _hash_split(i: Inputs) -> DataFrame:
-    train, test = hash_split(model.model_frame(i.consolidated), ["trip_id"], SPLIT_FRACTION, SEED)
-    return train.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("train").alias("split"), "n_rows").unionByName(
-        test.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("test").alias("split"), "n_rows"))
+    split = hash_split_label(["trip_id"], SPLIT_FRACTION, SEED)
+    return model.model_frame(i.consolidated).groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 _MODEL_CACHE: dict[tuple[int, str], tuple[SparkSession, jobs.FareModel]] = {}
