@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import langid, simhash
+from urbanlens.llm import bpe, decontam, langid, pii, simhash
 from urbanlens.llm.common import materialize, read
 from urbanlens.session import ship_package
 
 STAGES = [
     ("language id", langid.reject_unidentified),
     ("simhash near-dedup", simhash.keep_one_of_each),
+    ("benchmark decontamination", decontam.drop_contaminated),
+    ("personal data", pii.mask_personal_data),
+    ("byte-level bpe", bpe.encode_documents),
 ]
 
 # Fitted models, fingerprints and merges have no SQL form; tests/llm compares run() with brute force.

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import langid, simhash
+from urbanlens.llm import bpe, decontam, langid, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": decontam.query,
+    "op5_pii": pii.query,
     "op7_language_id": langid.query,
+    "op8_bpe": bpe.query,
     "op10_simhash": simhash.query,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": decontam.ORACLE}
