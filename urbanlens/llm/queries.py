@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import bpe, decontam, langid, pii, simhash
+from urbanlens.llm import bpe, decontam, fingerprint, langid, pii, simhash, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": urls.query,
+    "op2_toxicity": toxicity.query,
     "op3_decontamination": decontam.query,
     "op5_pii": pii.query,
     "op7_language_id": langid.query,
     "op8_bpe": bpe.query,
+    "op9_fingerprints": fingerprint.query,
     "op10_simhash": simhash.query,
 }
 ORACLE_SQL: dict[str, str] = {"op3_decontamination": decontam.ORACLE}
