@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import bpe, decontam, fingerprint, langid, pii, simhash, tokenfile, toxicity, urls
+from urbanlens.llm import bpe, decontam, fingerprint, langid, pii, simhash, substring, tokenfile, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": urls.query,
     "op2_toxicity": toxicity.query,
     "op3_decontamination": decontam.query,
+    "op4_substring_dedup": substring.query,
     "op5_pii": pii.query,
     "op6_token_file": tokenfile.query,
     "op7_language_id": langid.query,
