@@ -27,7 +27,7 @@ _LOW = (1 << 30) - 1
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add the kept entries (packed, in text order) of column ``text``."""
     words, rolled, entries = f"__{name}_w", f"__{name}_h", f"__{name}_e"
-    keep = df.columns
+    keep = [c for c in df.columns if c != name]
     df = df.withColumn(words, F.expr(f"filter(split(lower({text}), '[ \\\\t-\\\\r]+'), w -> w <> '')"))
     df = df.withColumn(rolled, F.expr(f"transform({words}, w -> xxhash64(w))"))
     step = 1

@@ -98,12 +98,16 @@ def _score(kind: Kind, match: Column, gap: Column) -> Column:
 
 
 def _matched(df: DataFrame, text: str, kind: Kind) -> DataFrame:
-    """Columns ``__gap`` (text before each match, and after the last) and ``__match``."""
+    """Add ``__gap`` (text before each match, and after the last) and ``__match``.
+
+    They come from a generator of one row, so that the optimizer computes them once
+    and never copies the expressions into what is built on them."""
     some = F.col(text).contains(kind.needs) if kind.needs == "@" else F.col(text).rlike(kind.needs)
-    return df.withColumn("__some", F.coalesce(some, F.lit(False))).withColumns({
-        "__gap": F.when(F.col("__some"), F.split(F.col(text), kind.pattern, -1)),
-        "__match": F.when(F.col("__some"), F.regexp_extract_all(F.col(text), F.lit(kind.pattern), 0)),
-    })
+    found = F.struct(
+        F.when(some, F.split(F.col(text), kind.pattern, -1)).alias("__gap"),
+        F.when(some, F.regexp_extract_all(F.col(text), F.lit(kind.pattern), 0)).alias("__match"),
+    )
+    return df.select(*[c for c in df.columns if c not in ("__gap", "__match")], F.inline(F.array(found)))
 
 
 def _pairs(kind: Kind) -> Column:

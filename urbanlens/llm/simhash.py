@@ -166,7 +166,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"))
     found = components(docs)
     keep = found.where("doc_id <=> component_id").select(key.alias("__key")).distinct()
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and not kind.startswith(("map", "array", "struct", "variant"))]
     first = Window.partitionBy("__key").orderBy("text", *rest)  # on the join's own partitioning
     return (
         docs.withColumn("__key", key).join(keep, "__key", "left_semi")

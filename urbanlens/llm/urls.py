@@ -124,15 +124,15 @@ def mine(marked: DataFrame, words: list[str]) -> DataFrame:
 
 
 def judge_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """``(signature, mined)`` for distinct token sets, by an inverted index from token to rule."""
+    """``(__signature, __mined)`` for distinct token sets, by an inverted index from token to rule."""
     index = rules.select("rule", "verdict", F.size("tokens").alias("size"), (F.col("confidence") * F.col("support")).alias("weight"), F.explode("tokens").alias("token"))
     matched = (
-        sets.select("signature", F.explode("signature").alias("token")).join(index, "token")
-        .groupBy("signature", "rule").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("verdict").alias("verdict"), F.first("weight").alias("weight"))
+        sets.select("__signature", F.explode("__signature").alias("token")).join(index, "token")
+        .groupBy("__signature", "rule").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("verdict").alias("verdict"), F.first("weight").alias("weight"))
         .where("n = size")
     )
     vote = F.round(F.sum(F.when(F.col("verdict") == "block", F.col("weight")).otherwise(-F.col("weight"))), 9)
-    return matched.groupBy("signature").agg(F.when(vote > 0, "block").otherwise("allow").alias("mined"))
+    return matched.groupBy("__signature").agg(F.when(vote > 0, "block").otherwise("allow").alias("__mined"))
 
 
 def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
@@ -144,13 +144,13 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     train = marked.where("__listed is not null").select(F.col("__listed").alias("label"), F.col("__tokens").alias("tokens"))
     words = vocabulary(train)
     known = F.array(*[F.lit(w) for w in words]).cast("array<string>")
-    signed = marked.withColumn("signature", F.array_sort(F.array_intersect("__tokens", known)))
-    sets = signed.where("__listed is null").select("signature").distinct()  # 2^MOST_TOKENS rows at most
+    signed = marked.withColumn("__signature", F.array_sort(F.array_intersect("__tokens", known)))
+    sets = signed.where("__listed is null").select("__signature").distinct()  # 2^MOST_TOKENS rows at most
     mined = judge_sets(sets, mine(train, words))
     return (
-        signed.join(F.broadcast(mined), "signature", "left")
-        .withColumn("verdict", F.coalesce("__listed", "mined", F.lit("allow")))
-        .drop("__rest", "__listed", "__tokens", "signature", "mined")
+        signed.join(F.broadcast(mined), "__signature", "left")
+        .withColumn("verdict", F.coalesce("__listed", "__mined", F.lit("allow")))
+        .drop("__rest", "__listed", "__tokens", "__signature", "__mined")
     )
 
 
