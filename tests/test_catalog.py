@@ -44,7 +44,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_listed(spark):
     rows_only = set(catalog.QUERIES) - set(catalog.ORACLE_SQL)
-    assert rows_only == MODEL_QUERIES | {"recommendation_documents", "embed_text"}
+    assert rows_only == MODEL_QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from urbanlens.operators import cleaning, enrich
 from urbanlens.plans import jobs
@@ -110,8 +111,10 @@ def test_profile_by_zone_equals_one_join_per_role(spark, lookup_tables):
         {"pu": ("pickup_boro", {"boro_avg_median_volume": "pu_avg", "boro_volume_stddev": "pu_sd"}),
          "do": ("dropoff_boro", {"boro_max_volume": "do_max"})},
     )
-    a = enrich.attach_profile(z, profile, {"pickup_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
-                              {"boro_avg_median_volume": "pu_avg", "boro_volume_stddev": "pu_sd"})
-    two = enrich.attach_profile(a, profile, {"dropoff_boro": "Boro", "pickup_day_of_week": "day_of_week", "pickup_hour": "HH"},
-                                {"boro_max_volume": "do_max"})
+    side = lambda key, names: profile.select(
+        F.col("Boro").alias(key), F.col("day_of_week").alias("pickup_day_of_week"), F.col("HH").alias("pickup_hour"),
+        *[F.col(c).alias(n) for c, n in names.items()])
+    keys = ["pickup_day_of_week", "pickup_hour"]
+    a = z.join(side("pickup_boro", {"boro_avg_median_volume": "pu_avg", "boro_volume_stddev": "pu_sd"}), ["pickup_boro", *keys], "left")
+    two = a.join(side("dropoff_boro", {"boro_max_volume": "do_max"}), ["dropoff_boro", *keys], "left")
     assert rows(one) == rows(two.select(*one.columns))

@@ -52,13 +52,3 @@ def test_embed_text_unit_vectors(spark):
         assert len(r.embedding) == 16
         n = math.sqrt(sum(x * x for x in r.embedding))
         assert math.isclose(n, 1.0, abs_tol=1e-9) or n == 0.0
-
-
-def test_encode_with_external_encoder(spark):
-    df = spark.createDataFrame([(1, "a b"), (2, "c")], "item_id long, text string")
-
-    def factory():
-        return lambda texts: [[float(len(t)), 1.0] for t in texts]
-
-    out = {r.item_id: r.embedding for r in text.encode_with(df, factory).collect()}
-    assert out == {1: [3.0, 1.0], 2: [1.0, 1.0]}

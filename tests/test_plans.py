@@ -43,12 +43,24 @@ def test_report_scans_only_needed_columns(spark, trips_parquet):
     assert "partial_avg" in plan  # map-side partial aggregation before the shuffle
 
 
-def test_lookup_and_profile_joins_are_broadcast(spark):
+def test_no_join_is_forced_to_broadcast(spark):
+    """With the size limit at zero every lookup and profile join is a sort-merge join: nothing
+    is broadcast whatever its size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(jobs.with_profiles(
+            jobs.with_zones(jobs.with_pickup_keys(catalog.Inputs(spark, SF_SMALL).clean), catalog.Inputs(spark, SF_SMALL).zones.select("*")),
+            catalog.Inputs(spark, SF_SMALL).zprofile,
+        ))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") >= 3
+
+
+def test_no_round_robin_shuffle_of_scans(spark):
     i = catalog.Inputs(spark, SF_SMALL)
-    plan = plan_of(i.profiled)
-    # two zone lookups + one profile join serving both trip ends
-    assert plan.count("BroadcastHashJoin") >= 3
-    assert "SortMergeJoin" not in plan
+    for df in (i.trips, i.sensors, i.ratings):
+        assert "RoundRobinPartitioning" not in plan_of(df)
 
 
 def test_topk_plans_partial_group_limit(spark):
@@ -78,8 +90,8 @@ def test_hot_key_aggregations_run_partial_first(spark):
     """A user or sensor group holding a third of all rows is combined per task
     before the shuffle: the vector sums and exact medians have partial phases."""
     i = catalog.Inputs(spark, SF_SMALL)
-    taste = plan_of(recsys.taste_vectors(i.ratings, i.vectors, i.slices, dim=i.dim))
-    assert "partial_sum" in taste and "partial_count" in taste
+    taste = plan_of(recsys.taste_vectors(i.ratings, i.vectors, i.slices))
+    assert "partial_sum" in taste and "partial_count" in taste and taste.count("ObjectHashAggregate") >= 4
     assert "collect_list" not in taste
     median = plan_of(jobs.sensor_profile(i.sensors))
     assert "partial_percentile_disc" in median

@@ -1,5 +1,6 @@
 """Property-based checks of core operators against plain-Python references."""
 
+import datetime as dt
 import hashlib
 
 from hypothesis import HealthCheck, given, settings
@@ -35,23 +36,20 @@ def test_filter_valid_matches_python(spark, rows):
 @given(st.lists(st.integers(min_value=0, max_value=100), min_size=1, max_size=40),
        st.lists(st.integers(min_value=1, max_value=30), min_size=1, max_size=4))
 def test_segments_match_python(spark, stamps, steps):
-    lo = 10
-    his, acc = [], lo
+    day = lambda n: dt.date(1970, 1, 1) + dt.timedelta(days=n)
+    first, ends, acc = 1, [], 1
     for s in steps:
         acc += s
-        his.append(acc)
-    his[-1] = None  # open last slice
-    slices = recsys.Slices(lo, tuple(his))
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, ts long")
+        ends.append(acc)
+    ends[-1] = None  # open last slice
+    slices = recsys.Slices(day(first), tuple(None if e is None else day(e) for e in ends))
+    df = spark.createDataFrame([(i, t * 21_600) for i, t in enumerate(stamps)], "i int, ts long")
     got = {r.i: r.segment for r in recsys.assign_segment(df, slices).collect()}
 
     def seg(t):
-        if t < lo:
+        if t < 4 * first:  # stamps count quarter days
             return None
-        for k, h in enumerate(his):
-            if h is None or t <= h:
-                return k
-        return None
+        return next(k for k, e in enumerate(ends) if e is None or t < 4 * (e + 1))
 
     assert got == {i: seg(t) for i, t in enumerate(stamps) if seg(t) is not None}
 
@@ -61,9 +59,7 @@ def test_segments_match_python(spark, stamps, steps):
 def test_round_half_even_matches_python(spark, pairs):
     df = spark.createDataFrame([(s / c,) for s, c in pairs], "x double")
     got = [r.r for r in df.select(round_half_even("x", 2).alias("r")).collect()]
-    # identical to rint(x*100)/100; differs from Python's exact-binary rounding only
-    # when x*100 itself rounds across a .5 boundary
-    assert got == [float(round(s / c * 100)) / 100 for s, c in pairs]
+    assert got == [round(s / c, 2) for s, c in pairs]
 
 
 @SETTINGS

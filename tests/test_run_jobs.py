@@ -44,7 +44,7 @@ def test_workflow_end_to_end(spark, scratch):
     _write_text(testdata.movies(spark, SF_SMALL), p("movies.dat"), "::")
     _write_text(testdata.ratings(spark, SF_SMALL), p("ratings.dat"), "::")
     run.run_item_vectors(spark, p("movies.dat"), p("vectors"), p("catalogue"), dim=32)
-    slices = recsys.Slices(testdata.LO, testdata.HI)
+    slices = recsys.Slices(testdata.FIRST_DAY, testdata.LAST_DAYS)
     run.run_user_state(spark, p("ratings.dat"), p("vectors"), p("state"), slices)
     assert {"iteration=0", "iteration=3"} <= set(os.listdir(p("state")))
     run.run_recommendations(spark, p("ratings.dat"), p("vectors"), p("catalogue"), p("recs"), slices,

@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 import math
 
@@ -42,15 +43,15 @@ def test_pick_one_and_split(spark):
 
 
 DAY = 86400
-SLICES = recsys.Slices(lo=10 * DAY, his=(20 * DAY, 30 * DAY, None))
+SLICES = recsys.Slices(dt.date(1970, 1, 11), (dt.date(1970, 1, 21), dt.date(1970, 1, 31), None))
 
 
 def ratings_fixture(spark):
     data = [
         # user, item, rating, ts
-        (1, 100, 5, 10 * DAY),  # exactly on lo
-        (1, 101, 4, 20 * DAY),  # exactly on hi[0]
-        (1, 102, 2, 20 * DAY + 1),  # one second after: segment 1
+        (1, 100, 5, 10 * DAY),  # first second of the first day
+        (1, 101, 4, 21 * DAY - 1),  # last second of the first slice
+        (1, 102, 2, 21 * DAY),  # one second after: segment 1
         (2, 100, 4, 25 * DAY),
         (2, 103, 3, 40 * DAY),
         (3, 104, 5, 5 * DAY),  # before lo: never counted
@@ -76,12 +77,12 @@ def catalogue_fixture(spark):
 
 
 def brute_taste(ratings, vecs, it):
-    his = SLICES.his
+    ends = (21 * DAY, 31 * DAY, None)
     out = {}
     users = {r[0] for r in ratings}
     for u in users:
-        liked = [r[1] for r in ratings if r[0] == u and r[2] >= 4 and r[3] >= SLICES.lo
-                 and (his[it] is None or r[3] <= his[it])]
+        liked = [r[1] for r in ratings if r[0] == u and r[2] >= 4 and r[3] >= 10 * DAY
+                 and (ends[it] is None or r[3] < ends[it])]
         vs = [np.array(vecs[m], dtype=float) for m in liked if m in vecs]
         if not vs:
             continue
@@ -93,7 +94,7 @@ def brute_taste(ratings, vecs, it):
 
 def test_segments_and_cumulative_rows(spark):
     r = ratings_fixture(spark)
-    rows = recsys.cumulative_slice_rows(r, SLICES).groupBy("iteration").count().collect()
+    rows = recsys.expand_iterations(recsys.assign_segment(r, SLICES), SLICES).groupBy("iteration").count().collect()
     assert {x.iteration: x["count"] for x in rows} == {0: 7, 1: 9, 2: 11}
     new = {(x.iteration, x.user_id) for x in recsys.new_keys(r, SLICES).collect()}
     assert new == {(0, 1), (0, 4), (0, 5), (1, 2), (2, 3)}
@@ -157,7 +158,7 @@ def test_user_stats_and_top_users(spark):
     r = ratings_fixture(spark)
     st = {(x.iteration, x.user_id): x for x in recsys.user_stats(r, SLICES).collect()}
     assert st[(1, 1)].num_ratings == 3 and st[(1, 1)].avg_rating == round(11 / 3, 2)
-    assert st[(1, 1)].last_interaction_time == "1970-01-21 00:00:01"
+    assert st[(1, 1)].last_interaction_time == "1970-01-22 00:00:00"
     top = recsys.top_users(r, SLICES, 95).collect()
     for it in range(3):
         counts = [x.num_ratings for k, x in st.items() if k[0] == it]
@@ -195,3 +196,37 @@ def test_split_label_agrees_with_split(spark):
     a, _ = sampling.hash_split(df, ["k"], 0.8, 42)
     labelled = {r.k for r in df.filter(sampling.hash_split_label(["k"], 0.8, 42) == "train").collect()}
     assert labelled == {r.k for r in a.collect()}
+
+
+def test_top_user_lists_follow_the_vector_and_the_catalogue(spark):
+    """A vector without a catalogue row is not listed, a user who has seen everything gets
+    an empty list, and only a user without any vector gets the popular items."""
+    slices = recsys.Slices(dt.date(1970, 1, 1), (None,))
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (99, [1.0, 0.1])], "item_id long, embedding array<float>")
+    catalogue = spark.createDataFrame([(1, "A", "x"), (2, "B", "x"), (3, "C", "x")], "item_id long, title string, genres string")
+
+    def top(rows):
+        r = spark.createDataFrame([(7, i, s, 100) for i, s in rows], "user_id long, item_id long, rating int, ts long")
+        docs = recsys.recommendation_documents(r, vectors, catalogue, slices, "t").collect()
+        return {d.User_Type: d.Recommendations for d in docs}
+
+    assert top([(1, 5)])["top"] == ["B"]  # 99 has no title
+    assert top([(1, 5), (2, 5), (99, 1)])["top"] == []  # everything seen
+    assert top([(3, 5)])["top"] == ["C"]  # no vector: popularity
+
+
+def test_vectors_of_different_widths_are_an_error(spark):
+    slices = recsys.Slices(dt.date(1970, 1, 1), (None,))
+    r = spark.createDataFrame([(7, 1, 5, 100), (7, 2, 5, 100)], "user_id long, item_id long, rating int, ts long")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 1.0])], "item_id long, embedding array<float>")
+    with pytest.raises(Exception, match="[Dd]imension|width|size"):
+        recsys.taste_vectors(r, vectors, slices).collect()
+
+
+def test_scans_are_not_remembered(spark, scratch):
+    from urbanlens.sources import testdata
+
+    spark.range(3).write.parquet(f"{scratch}/region.parquet")
+    assert testdata.table(spark, scratch, "region").count() == 3
+    spark.range(5).write.mode("append").parquet(f"{scratch}/region.parquet")
+    assert testdata.table(spark, scratch, "region").count() == 8

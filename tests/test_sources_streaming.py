@@ -57,16 +57,18 @@ def test_report_csv_vectors_json_and_write_once(spark, scratch):
     sinks.write_vectors(vec, v)
     assert readers.read_vectors(spark, v).collect()[0].embedding == [0.5, 0.25]
     once = os.path.join(scratch, "once")
-    sinks.write_once(df, once)
-    sinks.write_once(df.withColumn("trip_count", F.lit(99).cast("long")), once)  # kept
+    assert sinks.write_once(spark, lambda: df, once)
+    assert not sinks.write_once(spark, lambda: 1 / 0, once)  # kept, not even built
     assert spark.read.parquet(once).collect()[0].trip_count == 10
-    sinks.write_once(df.withColumn("trip_count", F.lit(99).cast("long")), once, force=True)
+    sinks.write_once(spark, lambda: df.withColumn("trip_count", F.lit(99).cast("long")), once, force=True)
     assert spark.read.parquet(once).collect()[0].trip_count == 99
     j = os.path.join(scratch, "docs")
-    docs = spark.createDataFrame([("cold", ["a", "b"], 0)], "User_Type string, Recommendations array<string>, iteration int")
+    docs = spark.createDataFrame([("cold", ["a", "b"], 0, "t:1")], "User_Type string, Recommendations array<string>, iteration int, generated_at string")
     sinks.write_recommendations_json(docs, j)
-    assert os.path.isdir(os.path.join(j, "iteration=0"))
-    assert spark.read.json(j).collect()[0].Recommendations == ["a", "b"]
+    sinks.write_recommendations_json(docs.withColumn("generated_at", F.lit("t:2")), j)  # the first run stays
+    sinks.write_recommendations_json(docs, j)  # a rerun replaces its own
+    assert sorted(os.listdir(os.path.join(j, "iteration=0"))) == ["run=t-1", "run=t-2"]
+    assert [r.Recommendations for r in spark.read.json(j).collect()] == [["a", "b"]] * 2
 
 
 def test_cut_lineage_uses_checkpoint_dir(spark):

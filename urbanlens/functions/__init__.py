@@ -7,10 +7,9 @@ codegen); none is a Python UDF.
 from urbanlens.functions.scalar import (
     HOUR_BINS,
     PEAK_BINS,
-    assemble_timestamp_text,
+    make_timestamp,
     day_of_week,
     duration_minutes,
-    epoch_seconds,
     epoch_to_text,
     guarded_ratio,
     hour_bin,
@@ -18,10 +17,9 @@ from urbanlens.functions.scalar import (
     malformed_numeric,
     nullify_sentinels,
     parse_int,
-    parse_timestamp,
     period,
     round_half_even,
-    utc_epoch,
+    day_start,
     weekend_flag,
 )
 from urbanlens.functions.hashing import hash_fraction_below, md5_key
@@ -30,12 +28,11 @@ from urbanlens.functions.vectors import cosine, dot, l2_norm, l2_normalize
 __all__ = [
     "HOUR_BINS",
     "PEAK_BINS",
-    "assemble_timestamp_text",
+    "make_timestamp",
     "cosine",
     "day_of_week",
     "dot",
     "duration_minutes",
-    "epoch_seconds",
     "epoch_to_text",
     "guarded_ratio",
     "hash_fraction_below",
@@ -47,9 +44,8 @@ __all__ = [
     "md5_key",
     "nullify_sentinels",
     "parse_int",
-    "parse_timestamp",
     "period",
     "round_half_even",
-    "utc_epoch",
+    "day_start",
     "weekend_flag",
 ]

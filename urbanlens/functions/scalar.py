@@ -55,22 +55,11 @@ def malformed_numeric(text: ColumnOrName, pattern: str = r"^-?\d+$") -> Column:
     return ~_col(text).rlike(pattern)
 
 
-def assemble_timestamp_text(
-    year: ColumnOrName,
-    month: ColumnOrName,
-    day: ColumnOrName,
-    hour: ColumnOrName,
-    minute: ColumnOrName,
+def make_timestamp(
+    year: ColumnOrName, month: ColumnOrName, day: ColumnOrName, hour: ColumnOrName, minute: ColumnOrName
 ) -> Column:
-    """``Y-M-D H:M:00`` from integer parts (``concat_ws`` skips NULL parts)."""
-    date_part = F.concat_ws("-", _col(year), _col(month), _col(day))
-    time_part = F.concat_ws(":", _col(hour), _col(minute), F.lit("00"))
-    return F.concat_ws(" ", date_part, time_part)
-
-
-def parse_timestamp(text: ColumnOrName, fmt: str = "yyyy-M-d H:m:ss") -> Column:
-    """Parse text to a timestamp; malformed text or impossible dates -> NULL."""
-    return F.try_to_timestamp(_col(text), F.lit(fmt))
+    """Timestamp of integer parts; impossible dates and NULL parts -> NULL."""
+    return F.try_make_timestamp(_col(year), _col(month), _col(day), _col(hour), _col(minute), F.lit(0))
 
 
 def day_of_week(ts: ColumnOrName) -> Column:
@@ -118,14 +107,25 @@ def item_text(title: ColumnOrName, genres: ColumnOrName, sep: str = "|") -> Colu
 
 
 def round_half_even(value: ColumnOrName, digits: int = 2) -> Column:
-    """Round the binary double half-to-even at ``digits`` (``rint(x * 10^d) / 10^d``).
+    """Round the exact binary value of a double to ``digits``, exact ties to even.
 
-    Spark's ``round`` rounds the *decimal text* of the double half-up (2.425 ->
-    2.43); rounding the double itself gives 2.42, like a Python ``round`` of a
-    float mean.
+    Spark's ``round`` rounds the decimal text half-up, and ``rint(x * 10^d)`` goes
+    wrong when the product itself is rounded onto a tie (43/40 is a little below
+    1.075 but 107.5 after scaling). On such a tie the rounding error of the product,
+    from a two-part split of the value, says on which side the exact value lies.
+    Holds while ``x * 10^d`` is below 2^52 in size.
     """
+    x = _col(value)
     scale = 10.0**digits
-    return F.rint(_col(value) * scale) / scale
+    scaled = x * scale
+    below = F.floor(scaled).cast("double")
+    # x = high + low with 26-bit parts, so both products are exact
+    wide = x * 134217729.0
+    high = wide - (wide - x)
+    error = (high * scale - scaled) + (x - high) * scale
+    tie = scaled - below == 0.5
+    whole = F.when(tie & (error > 0), below + 1.0).when(tie & (error < 0), below).otherwise(F.rint(scaled))
+    return whole / scale
 
 
 def epoch_to_text(epoch: ColumnOrName) -> Column:
@@ -133,13 +133,6 @@ def epoch_to_text(epoch: ColumnOrName) -> Column:
     return F.date_format(F.timestamp_seconds(_col(epoch)), "yyyy-MM-dd HH:mm:ss")
 
 
-def epoch_seconds(ts: ColumnOrName) -> Column:
-    """Timestamp -> epoch seconds (bigint)."""
-    return F.unix_timestamp(_col(ts))
-
-
-def utc_epoch(year: int, month: int, day: int, end_of_day: bool = False) -> int:
-    """Calendar day in UTC -> epoch seconds; ``end_of_day`` gives 23:59:59."""
-    t = (23, 59, 59) if end_of_day else (0, 0, 0)
-    stamp = _dt.datetime(year, month, day, *t, tzinfo=_dt.timezone.utc)
-    return int(stamp.timestamp())
+def day_start(day: _dt.date, after: int = 0) -> Column:
+    """Epoch second at which the UTC day ``after`` days later begins."""
+    return F.unix_date(F.date_add(F.lit(day), after)).cast("bigint") * 86400

@@ -83,11 +83,3 @@ def exclude_values(
     if min_rows is not None:
         out = out.filter(F.col(count_col) >= min_rows)
     return out
-
-
-def cumulative_slice(df: DataFrame, ts: str, lo: int, hi: int | None = None) -> DataFrame:
-    """Rows with ``lo <= ts <= hi`` (``hi=None``: open end)."""
-    pred = F.col(ts) >= lo
-    if hi is not None:
-        pred = pred & (F.col(ts) <= hi)
-    return df.filter(pred)

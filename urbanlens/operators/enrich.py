@@ -1,10 +1,8 @@
 """Dimension lookups, profile joins and join audits.
 
-Broadcast policy: a dimension is broadcast only when its size has a proven
-bound independent of the fact table — the zone lookup (one row per location id)
-and the zone profile (at most boroughs × 7 weekdays × 24 hours rows). Anything
-else is joined without a hint so the optimizer and AQE choose from measured
-sizes (sort-merge with runtime broadcast conversion and skew splitting).
+Broadcast policy: no hints. The optimizer broadcasts a side whose measured size is below
+its threshold (and AQE re-plans from run-time sizes); larger dimensions are joined by
+sort-merge with skew splitting.
 """
 
 from __future__ import annotations
@@ -34,7 +32,6 @@ def lookup(
     dim_key: str,
     rename: Mapping[str, str],
     how: str = "left",
-    broadcast_dim: bool = True,
 ) -> DataFrame:
     """Left equi-join of ``fact`` to a small dimension, taking renamed columns.
 
@@ -43,32 +40,9 @@ def lookup(
     d = dim.select(
         F.col(dim_key).alias("__lk_key"), *[F.col(k).alias(v) for k, v in rename.items()]
     )
-    d = F.broadcast(d) if broadcast_dim else d
     return fact.join(d, fact[fact_key] == d["__lk_key"], how).drop("__lk_key")
 
 
-def attach_profile(
-    fact: DataFrame,
-    profile: DataFrame,
-    on: Mapping[str, str],
-    metrics: Mapping[str, str],
-    broadcast_profile: bool = True,
-) -> DataFrame:
-    """Left join ``profile`` on several keys (``fact_col -> profile_col``) and
-    take ``metrics`` (``profile_col -> new name``)."""
-    tmp = {pc: f"__pf_{i}" for i, pc in enumerate(on.values())}
-    p = profile.select(
-        *[F.col(pc).alias(tmp[pc]) for pc in on.values()],
-        *[F.col(k).alias(v) for k, v in metrics.items()],
-    )
-    p = F.broadcast(p) if broadcast_profile else p
-    cond = None
-    for fc, pc in on.items():
-        c = fact[fc] == p[tmp[pc]]
-        cond = c if cond is None else cond & c
-    return fact.join(p, cond, "left").drop(*tmp.values())
-
-
 def attach_profile_by_zone(
     fact: DataFrame,
     profile: DataFrame,
@@ -80,9 +54,9 @@ def attach_profile_by_zone(
 
     ``profile`` has one row per (``zone_col``, shared keys). It is reshaped to one
     row per shared key with a map ``zone -> metrics`` (at most as many entries as
-    there are zones — a bounded group), broadcast once, and each role reads its
+    there are zones), joined once, and each role reads its
     zone from the map. Equivalent to one left join per role on
-    (role zone column, shared keys), but the profile is computed and shipped once.
+    (role zone column, shared keys), but the profile is computed and joined once.
 
     ``shared_on``: fact column -> profile column (e.g. pickup weekday/hour);
     ``roles``: role name -> (fact zone column, {profile metric: output column}).
@@ -102,7 +76,7 @@ def attach_profile_by_zone(
     for fc, pc in shared_on.items():
         c = fact[fc] == F.col(tmp[pc])
         cond = c if cond is None else cond & c
-    j = fact.join(F.broadcast(by_key), cond, "left")
+    j = fact.join(by_key, cond, "left")
     outs = []
     for fact_zone, metrics in roles.values():
         hit = F.try_element_at(F.col("__pm"), F.col(fact_zone))

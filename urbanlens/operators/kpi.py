@@ -104,7 +104,8 @@ def reindex(
     The order table is as large as ``order`` (a handful of labels) and ``df`` is a
     report; the optimizer broadcasts whichever side it can for the outer join.
     """
-    cats = spark.createDataFrame([(v, i + 1) for i, v in enumerate(order)], f"{col} string, {ord_alias} int")
+    labels = F.array(*[F.struct(F.lit(v).alias(col), F.lit(i + 1).alias(ord_alias)) for i, v in enumerate(order)])
+    cats = spark.range(1).select(F.inline(labels))
     return cats.join(df, col, "left").orderBy(ord_alias)
 
 

@@ -41,6 +41,11 @@ def table_report(df: DataFrame) -> DataFrame:
     )
 
 
+def sample_rows(df: DataFrame, by: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``by``: the same rows on every run."""
+    return df.orderBy(*by).limit(n)
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row: NULL count per column (all columns by default)."""
     cols = list(cols) if cols is not None else df.columns
@@ -105,10 +110,6 @@ def describe(
     return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def summary(df: DataFrame, cols: Sequence[str], stats: Sequence[str], digits: int | None = None) -> DataFrame:
-    return describe(df, cols, stats, digits)
-
-
 def count_distinct(df: DataFrame, cols: Sequence[str], alias: str = "n_distinct") -> DataFrame:
     """Exact distinct count (two-phase distinct aggregation, partial per task)."""
     return df.agg(F.count_distinct(*[F.col(c) for c in cols]).alias(alias))

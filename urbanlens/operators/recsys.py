@@ -1,8 +1,8 @@
 """Recommendation operators over cumulative time slices (B15, B16, C5–C9, C11,
 D18–D21, F3, F4, G1, G2, I2–I5).
 
-Iteration ``i`` sees every rating with ``lo <= ts <= hi[i]``; the slices are
-nested. Instead of joining the ratings against the bounds (which copies every
+Iteration ``i`` sees every rating from the first day up to its last day; the slices
+are nested. Instead of joining the ratings against the bounds (which copies every
 rating once per iteration), each rating gets the *segment* of the first slice
 that contains it — a CASE expression, no join — then the data is aggregated per
 segment (partial + final, so hot users/items are combined map-side), and only
@@ -13,15 +13,19 @@ with the ratings; after it, with (keys × iterations).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlens.functions.scalar import epoch_to_text, round_half_even
-from urbanlens.functions.vectors import cosine, l2_normalize
+from urbanlens.functions.scalar import day_start, epoch_to_text, round_half_even
+from urbanlens.functions.vectors import dot, l2_normalize
 from urbanlens.operators.sampling import pick_one, sample_keys
+from urbanlens.session import cut_lineage
 
 # Recommendation parameters of the surveyed job.
 USER_SAMPLE_FRACTION = 0.30
@@ -33,22 +37,23 @@ MIN_LIKED_RATING = 4
 
 @dataclass(frozen=True)
 class Slices:
-    """Cumulative slices ``[lo, his[i]]``; ``None`` as the last bound is open."""
+    """Cumulative slices of whole UTC days: each starts with ``first_day`` and the
+    i-th ends with ``last_days[i]`` (``None`` is open)."""
 
-    lo: int
-    his: tuple[int | None, ...]
+    first_day: dt.date
+    last_days: tuple[dt.date | None, ...]
 
     @property
     def n(self) -> int:
-        return len(self.his)
+        return len(self.last_days)
 
     def segment(self, ts: Column) -> Column:
-        """Index of the first slice containing ``ts`` (NULL when none does)."""
+        """Index of the first slice containing epoch second ``ts`` (NULL when none does)."""
         expr = None
-        for i, hi in enumerate(self.his):
-            cond = F.lit(True) if hi is None else (ts <= hi)
-            expr = F.when(cond, i) if expr is None else expr.when(cond, i)
-        return F.when(ts >= self.lo, expr)
+        for i, day in enumerate(self.last_days):
+            inside = F.lit(True) if day is None else (ts < day_start(day, 1))
+            expr = F.when(inside, i) if expr is None else expr.when(inside, i)
+        return F.when(ts >= day_start(self.first_day), expr)
 
 
 def assign_segment(ratings: DataFrame, slices: Slices, ts: str = "ts") -> DataFrame:
@@ -60,11 +65,6 @@ def expand_iterations(df: DataFrame, slices: Slices, segment: str = "segment") -
     return df.withColumn("iteration", F.explode(F.sequence(F.col(segment), F.lit(slices.n - 1)))).drop(segment)
 
 
-def cumulative_slice_rows(ratings: DataFrame, slices: Slices) -> DataFrame:
-    """Every rating once per iteration that contains it (row-level C11)."""
-    return expand_iterations(assign_segment(ratings, slices), slices)
-
-
 def slice_summary(ratings: DataFrame, slices: Slices) -> DataFrame:
     """Per iteration: ratings, distinct users, distinct items, first/last ts.
 
@@ -235,65 +235,54 @@ def liked_with_vectors(
     )
 
 
-def embedding_dim(vectors: DataFrame, col: str = "embedding") -> int:
-    """Vector length, read from one row (a schema-level property of the model)."""
-    row = vectors.select(F.size(col).alias("d")).first()
-    if row is None:
-        raise ValueError("empty vector table")
-    return int(row["d"])
-
-
 def taste_vectors(
     ratings: DataFrame,
     vectors: DataFrame,
     slices: Slices,
     min_rating: int = MIN_LIKED_RATING,
     users: DataFrame | None = None,
-    dim: int | None = None,
 ) -> DataFrame:
     """Normalised mean vector of each user's liked items per iteration (I4).
 
-    Users without any liked item that has a vector are absent. The vector sum is
-    one ``sum`` per component — a code-generated hash aggregate with a map-side
-    partial phase (a hot user costs one partial row per task) — first per
-    segment, then per iteration after the expansion. ``users`` (iteration,
-    user_id) restricts the work to those users before any aggregation.
+    Users without any liked item that has a vector are absent. Likes are counted per
+    (segment, user, item) first, so a very popular item enters the join once a user; the
+    weighted vector sums are a vector aggregate of any width with a partial phase per task, and
+    fail on vectors of different widths. ``users`` (iteration, user_id) restricts the
+    work to those users before any aggregation.
     """
-    d = dim or embedding_dim(vectors)
     liked = ratings.filter(F.col("rating") >= min_rating)
     if users is not None:
         liked = liked.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    liked = assign_segment(liked, slices)
-    vec = vectors.select("item_id", F.col("embedding").cast("array<double>").alias("__e"))
-    comps = [f"__s{k}" for k in range(d)]
-    seg = liked.join(vec, "item_id").groupBy("segment", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("__e")[k]).alias(c) for k, c in enumerate(comps)]
+    times = assign_segment(liked, slices).groupBy("segment", "user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    vec = vectors.where("embedding is not null").select(
+        "item_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("__v")
+    )
+    seg = times.join(vec, "item_id").groupBy("segment", "user_id").agg(
+        F.sum("n").alias("n"), Summarizer.sum(F.col("__v"), F.col("n").cast("double")).alias("__v")
     )
     it = expand_iterations(seg, slices)
     if users is not None:
         it = it.join(users.select("iteration", "user_id"), ["iteration", "user_id"], "left_semi")
-    it = it.groupBy("iteration", "user_id").agg(
-        F.sum("n").alias("n_vectors"), *[F.sum(c).alias(c) for c in comps]
+    it = it.groupBy("iteration", "user_id").agg(F.sum("n").alias("n_vectors"), Summarizer.sum(F.col("__v")).alias("__v"))
+    mean = F.transform(vector_to_array("__v"), lambda x: x / F.col("n_vectors"))
+    return it.select("iteration", "user_id", "n_vectors", mean.alias("__m")).select(
+        "iteration", "user_id", "n_vectors", l2_normalize("__m").alias("embedding")
     )
-    n = F.col("n_vectors")
-    mean = it.select("iteration", "user_id", "n_vectors", F.array(*[F.col(c) / n for c in comps]).alias("__m"))
-    return mean.select("iteration", "user_id", "n_vectors", l2_normalize("__m").alias("embedding"))
 
 
 def user_state(
     ratings: DataFrame, vectors: DataFrame, slices: Slices,
-    fraction: float = USER_SAMPLE_FRACTION, seed: int = RANDOM_SEED, dim: int | None = None,
+    fraction: float = USER_SAMPLE_FRACTION, seed: int = RANDOM_SEED,
 ) -> DataFrame:
     """Taste vectors of the sampled users per iteration (I5): the stored state."""
     sampled = sample_users(ratings, slices, fraction, seed)
-    return taste_vectors(ratings, vectors, slices, users=sampled, dim=dim)
+    return taste_vectors(ratings, vectors, slices, users=sampled)
 
 
 def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices, distinct: bool = True) -> DataFrame:
     """``(iteration, user_id, item_id)`` already rated by the given per-iteration
-    users (G2). ``users`` has one row per iteration: broadcast. ``distinct=False``
-    skips the de-duplication shuffle when the result only feeds an anti join."""
-    u = F.broadcast(users.select("iteration", "user_id"))
+    users (G2). ``distinct=False`` skips the de-duplication shuffle when the result only feeds an anti join."""
+    u = users.select("iteration", "user_id")
     mine = assign_segment(ratings.select("user_id", "item_id", "ts"), slices)
     # a rating of segment s belongs to every iteration >= s
     out = mine.join(u, "user_id").filter(F.col("segment") <= F.col("iteration")).select(
@@ -305,38 +294,40 @@ def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices, distinct: b
 def score_items(user_vectors: DataFrame, vectors: DataFrame, slices: Slices) -> DataFrame:
     """Cosine of each iteration's user vector against every item vector.
 
-    ``user_vectors`` holds at most one row per iteration, so it is broadcast and
-    joined on ``iteration`` to the item table copied once per iteration: work is
-    linear in the item count.
+    ``user_vectors`` holds one vector per iteration. Every vector is normalised once,
+    before the items are copied to the iterations, so a pair costs one dot product;
+    a zero vector has similarity 0.
     """
     items = vectors.select(
-        "item_id", F.col("embedding").cast("array<double>").alias("item_vec")
+        "item_id", l2_normalize(F.col("embedding").cast("array<double>")).alias("item_vec")
     ).withColumn("iteration", F.explode(F.sequence(F.lit(0), F.lit(slices.n - 1))))
-    u = F.broadcast(user_vectors.select("iteration", "user_id", F.col("embedding").alias("user_vec")))
+    u = user_vectors.select("iteration", "user_id", l2_normalize("embedding").alias("user_vec"))
     return items.join(u, "iteration").select(
-        "iteration", "user_id", "item_id", cosine(F.col("user_vec"), F.col("item_vec")).alias("sim")
+        "iteration", "user_id", "item_id", dot("user_vec", "item_vec").alias("sim")
     )
 
 
 def recommend(
     scores: DataFrame, seen: DataFrame, catalogue: DataFrame, n: int = TOP_N
 ) -> DataFrame:
-    """Top ``n`` unseen items per (iteration, user) by similarity."""
+    """Top ``n`` unseen items per (iteration, user) by similarity (C7, F4); of these,
+    the ones the catalogue has (their ranks stay)."""
     unseen = scores.join(seen, ["iteration", "user_id", "item_id"], "left_anti")
     top = top_per_group(unseen, ["iteration", "user_id"], [F.desc("sim"), F.asc("item_id")], n)
-    return top.join(catalogue.select("item_id", "title"), "item_id", "left").select(
+    # titles come from catalogue rows only
+    return top.join(catalogue.select("item_id", "title"), "item_id").select(
         "iteration", "user_id", "rank", "item_id", "title", "sim"
     )
 
 
 def user_vectors_for(
     ratings: DataFrame, vectors: DataFrame, slices: Slices, users: DataFrame,
-    state: DataFrame | None = None, dim: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Vectors of the given per-iteration users (C8): the stored state where it
     has the user, otherwise recomputed from the ratings; users without any liked
     vector stay absent (the caller falls back to popularity)."""
-    recomputed = taste_vectors(ratings, vectors, slices, users=users, dim=dim)
+    recomputed = taste_vectors(ratings, vectors, slices, users=users)
     if state is None:
         return recomputed
     stored = state.select("iteration", "user_id", "n_vectors", "embedding").join(
@@ -346,35 +337,45 @@ def user_vectors_for(
     return stored.unionByName(missing)
 
 
+@dataclass(frozen=True)
+class Picked:
+    """What the recommendations of the picked users start from, each written once
+    (a user per iteration, and those few users' own ratings and vectors), so that no
+    later plan scans all ratings again."""
+
+    users: DataFrame
+    ratings: DataFrame
+    taste: DataFrame
+
+
+def picked_users(
+    ratings: DataFrame, vectors: DataFrame, slices: Slices, seed: int = RANDOM_SEED, state: DataFrame | None = None
+) -> Picked:
+    # min_by per iteration: one row per iteration, the proven bound of these broadcasts
+    users = cut_lineage(pick_top_user(ratings, slices, seed))
+    own = ratings.join(F.broadcast(users.select("user_id").distinct()), "user_id", "left_semi")
+    own = cut_lineage(own.select("user_id", "item_id", "rating", "ts"))
+    return Picked(users, own, cut_lineage(user_vectors_for(own, vectors, slices, F.broadcast(users), state)))
+
+
+def _recommend_for(picked: Picked, vectors: DataFrame, catalogue: DataFrame, slices: Slices, n: int) -> DataFrame:
+    scores = score_items(F.broadcast(picked.taste), vectors, slices)
+    seen = seen_items(picked.ratings, F.broadcast(picked.users), slices, distinct=False)
+    return recommend(scores, seen, catalogue, n)
+
+
 def top_user_recommendations(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None, state: DataFrame | None = None,
+    n: int = TOP_N, seed: int = RANDOM_SEED, state: DataFrame | None = None,
 ) -> DataFrame:
     """Top ``n`` unseen items for the picked top user of each iteration."""
-    picked = F.broadcast(pick_top_user(ratings, slices, seed))  # one user per iteration
-    taste = user_vectors_for(ratings, vectors, slices, picked, state, dim)
-    scores = score_items(taste, vectors, slices)
-    return recommend(scores, seen_items(ratings, picked, slices, distinct=False), catalogue, n)
-
+    return _recommend_for(picked_users(ratings, vectors, slices, seed, state), vectors, catalogue, slices, n)
 
-def recommendations_with_fallback(
-    ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None, state: DataFrame | None = None,
-) -> DataFrame:
-    """Cold-user rows plus top-user rows per iteration.
 
-    The top user's vector is its stored/recomputed taste vector; when the user
-    has no liked item with a vector, the popularity list is used instead.
-    """
-    cold = cold_recommendations(ratings, catalogue, slices, n)
-    picked = pick_top_user(ratings, slices, seed)
-    top = top_user_recommendations(ratings, vectors, catalogue, slices, n, seed, dim, state)
-    covered = top.select("iteration").distinct()
-    fallback = (
-        cold.join(F.broadcast(picked), "iteration")
-        .join(F.broadcast(covered), "iteration", "left_anti")
-        .select("iteration", "user_id", "rank", "item_id", "title")
-    )
+def _with_fallback(picked: Picked, cold: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices, n: int) -> DataFrame:
+    top = _recommend_for(picked, vectors, catalogue, slices, n)
+    without = picked.users.join(F.broadcast(picked.taste.select("iteration")), "iteration", "left_anti")
+    fallback = cold.join(F.broadcast(without), "iteration").select("iteration", "user_id", "rank", "item_id", "title")
     cold_rows = cold.select(
         "iteration", F.lit("cold").alias("user_type"), F.lit(None).cast("bigint").alias("user_id"),
         "rank", "item_id", "title",
@@ -385,29 +386,48 @@ def recommendations_with_fallback(
     )
 
 
+def recommendations_with_fallback(
+    ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
+    n: int = TOP_N, seed: int = RANDOM_SEED, state: DataFrame | None = None,
+) -> DataFrame:
+    """Cold-user rows plus top-user rows per iteration.
+
+    The top user's vector is its stored or recomputed taste vector. Only a user
+    without any vector gets the popularity list; one with a vector who has seen
+    everything gets no rows.
+    """
+    picked = picked_users(ratings, vectors, slices, seed, state)
+    cold = cut_lineage(cold_recommendations(ratings, catalogue, slices, n))  # n rows per iteration
+    return _with_fallback(picked, cold, vectors, catalogue, slices, n)
+
+
 def recommendation_documents(
     ratings: DataFrame, vectors: DataFrame, catalogue: DataFrame, slices: Slices,
-    generated_at: str, n: int = TOP_N, seed: int = RANDOM_SEED, dim: int | None = None,
-    state: DataFrame | None = None,
+    generated_at: str, n: int = TOP_N, seed: int = RANDOM_SEED, state: DataFrame | None = None,
 ) -> DataFrame:
     """Result documents: one cold and one top row per iteration, titles as an
-    array in rank order (groups hold at most ``n`` rows)."""
-    recs = recommendations_with_fallback(ratings, vectors, catalogue, slices, n, seed, dim, state)
-    lists = recs.groupBy("iteration", "user_type", "user_id").agg(
+    array in rank order (empty when there is nothing to recommend)."""
+    picked = picked_users(ratings, vectors, slices, seed, state)
+    cold = cut_lineage(cold_recommendations(ratings, catalogue, slices, n))
+    recs = _with_fallback(picked, cold, vectors, catalogue, slices, n)
+    lists = recs.groupBy("iteration", "user_type").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", "title"))), lambda s: s["title"]
         ).alias("Recommendations")
     )
-    picked = pick_top_user(ratings, slices, seed)  # one user per iteration
-    mine = ratings.join(F.broadcast(picked.select("user_id").distinct()), "user_id", "left_semi")
-    stats = user_stats(mine, slices).join(F.broadcast(picked), ["iteration", "user_id"], "left_semi")
-    docs = lists.join(stats, ["iteration", "user_id"], "left")
+    kinds = F.explode(F.array(F.lit("cold"), F.lit("top"))).alias("user_type")
+    stats = user_stats(picked.ratings, slices).withColumn("user_type", F.lit("top"))
+    docs = (
+        picked.users.select("iteration", "user_id", kinds)
+        .join(lists, ["iteration", "user_type"], "left")
+        .join(stats, ["iteration", "user_id", "user_type"], "left")
+    )
     return docs.select(
-        F.when(F.col("user_type") == "cold", "cold").otherwise("top").alias("User_Type"),
+        F.col("user_type").alias("User_Type"),
         F.col("last_interaction_time").alias("Last_Interaction_Time"),
         F.coalesce(F.col("num_ratings"), F.lit(0)).alias("Num_Ratings"),
         F.col("avg_rating").alias("Avg_Rating"),
-        "Recommendations",
+        F.coalesce("Recommendations", F.array().cast("array<string>")).alias("Recommendations"),
         "iteration",
         F.lit(generated_at).alias("generated_at"),
     )

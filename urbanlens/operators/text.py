@@ -1,24 +1,18 @@
 """Item text -> vector.
 
 The surveyed job encodes ``title: genres`` with a sentence-transformer model that
-is not available offline. The default here is a Spark ML text pipeline
-(tokenize -> hashed term frequencies -> IDF -> L2 normalise), which runs on the
-executors with a fixed-size model (the IDF vector). ``encode_with`` accepts a
-real encoder: it is loaded once per Python worker and applied to Arrow batches
-by ``mapInPandas``.
+is not available offline. Here the text becomes hashed TF-IDF: a token's md5 prefix
+modulo the width is its place, so the vectors do not depend on the engine. All
+of it is aggregates: document frequencies have at most ``dim`` rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions.scalar import item_text
+from urbanlens.functions.vectors import l2_normalize
 
 
 def with_item_text(catalogue: DataFrame) -> DataFrame:
@@ -26,34 +20,19 @@ def with_item_text(catalogue: DataFrame) -> DataFrame:
 
 
 def embed_text(df: DataFrame, text_col: str = "text", dim: int = 64, key: str = "item_id") -> DataFrame:
-    """``(key, embedding array<double>)`` with unit-length hashed TF-IDF vectors."""
-    pipe = Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
-            HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim),
-            IDF(inputCol="__tf", outputCol="__idf"),
-            Normalizer(inputCol="__idf", outputCol="__vec", p=2.0),
-        ]
+    """``(key, embedding array<double>)``: tf * (ln((N + 1) / (df + 1)) + 1), unit length
+    (zeros for a text without tokens)."""
+    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    place = F.conv(F.substring(F.md5("__token"), 1, 8), 16, 10).cast("bigint") % dim
+    counts = df.select(F.col(key), F.explode(tokens).alias("__token")).groupBy(key, place.cast("int").alias("__at")).agg(
+        F.count(F.lit(1)).alias("__tf")
     )
-    model = pipe.fit(df)
-    return model.transform(df).select(key, vector_to_array(F.col("__vec")).alias("embedding"))
-
-
-def encode_with(
-    df: DataFrame,
-    encoder_factory: Callable[[], Callable[[list[str]], list[list[float]]]],
-    text_col: str = "text",
-    key: str = "item_id",
-    key_type: str = "bigint",
-) -> DataFrame:
-    """Apply an external batch encoder on the executors (Arrow batches)."""
-
-    def run(batches):
-        import pandas as pd
-
-        encode = encoder_factory()  # loaded once per task, not per row
-        for pdf in batches:
-            vecs = encode(pdf[text_col].tolist())
-            yield pd.DataFrame({key: pdf[key], "embedding": [list(map(float, v)) for v in vecs]})
-
-    return df.select(key, text_col).mapInPandas(run, f"{key} {key_type}, embedding array<double>")
+    idf = counts.groupBy("__at").agg((F.log((F.lit(df.count()) + 1) / (F.count(F.lit(1)) + 1)) + 1).alias("__idf"))  # dim rows
+    cells = counts.join(F.broadcast(idf), "__at").groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("__at", (F.col("__tf") * F.col("__idf")).alias("w")))).alias("__cells")
+    )
+    wide = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.coalesce(F.try_element_at(F.col("__cells"), i), F.lit(0.0)),
+    )
+    return df.select(key).join(cells, key, "left").select(key, wide.alias("__v")).select(key, l2_normalize("__v").alias("embedding"))

@@ -85,18 +85,7 @@ class Inputs:
 
     @cached_property
     def slices(self) -> recsys.Slices:
-        return recsys.Slices(testdata.LO, testdata.HI)
-
-    @property
-    def dim(self) -> int:
-        """Vector length, looked up once per session and directory."""
-        key = (id(self.spark), self.sf_dir)
-        if key not in _DIMS:
-            _DIMS[key] = recsys.embedding_dim(self.vectors)
-        return _DIMS[key]
-
-
-_DIMS: dict[tuple[int, str], int] = {}
+        return recsys.Slices(testdata.FIRST_DAY, testdata.LAST_DAYS)
 
 
 # ------------------------------------------------------------------- SQL stages
@@ -189,7 +178,7 @@ def _sensor_sql(body: str, upto: str = "sensors_clean") -> str:
 # bounds (the Spark side uses segments + expansion).
 _CUM = """cum AS (
   SELECT b.iteration, r.user_id, r.item_id, r.rating, r.ts
-  FROM ratings r JOIN bounds b ON r.ts >= b.lo AND (b.hi IS NULL OR r.ts <= b.hi)
+  FROM ratings r JOIN bounds b ON r.ts >= b.lo AND (b.hi IS NULL OR r.ts < b.hi)
 )"""
 _USER_COUNTS = """uc AS (SELECT iteration, user_id, CAST(count(*) AS BIGINT) AS n_ratings FROM cum GROUP BY iteration, user_id)"""
 _TOP_USERS = """thr AS (SELECT iteration, quantile_cont(n_ratings, 0.95) AS threshold FROM uc GROUP BY iteration),
@@ -678,17 +667,8 @@ def _hash_split(i: Inputs) -> DataFrame:
     return model.model_frame(i.consolidated).groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_MODEL_CACHE: dict[tuple[int, str], tuple[SparkSession, jobs.FareModel]] = {}
-
-
 def _fare_model(i: Inputs) -> jobs.FareModel:
-    """One fit per session and data directory, shared by the four model queries."""
-    key = (id(i.spark), i.sf_dir)
-    hit = _MODEL_CACHE.get(key)
-    if hit is None or hit[0] is not i.spark:
-        hit = (i.spark, jobs.fare_model(i.spark, i.consolidated))
-        _MODEL_CACHE[key] = hit
-    return hit[1]
+    return jobs.fare_model(i.spark, i.consolidated)
 
 
 @register("fare_model_metrics")
@@ -744,7 +724,7 @@ def _top_users(i: Inputs) -> DataFrame:
 @register("user_stats", _rec_sql("""
 SELECT iteration, user_id,
        strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(max(ts)), '%Y-%m-%d %H:%M:%S') AS last_interaction_time,
-       CAST(count(*) AS BIGINT) AS num_ratings, round_even(avg(rating), 2) AS avg_rating
+       CAST(count(*) AS BIGINT) AS num_ratings, CAST(format('{:.2f}', avg(rating)) AS DOUBLE) AS avg_rating
 FROM cum GROUP BY iteration, user_id"""))
 def _user_stats(i: Inputs) -> DataFrame:
     return recsys.user_stats(i.ratings, i.slices)
@@ -772,7 +752,7 @@ def _liked(i: Inputs) -> DataFrame:
 SELECT t.iteration, t.user_id, t.n_vectors, CAST(t.dim - 1 AS INTEGER) AS dim, round(t.value, 6) AS value
 FROM taste t JOIN sampled s USING (iteration, user_id)""", _SAMPLED, _TASTE))
 def _taste(i: Inputs) -> DataFrame:
-    state = recsys.user_state(i.ratings, i.vectors, i.slices, dim=i.dim)
+    state = recsys.user_state(i.ratings, i.vectors, i.slices)
     return state.select("iteration", "user_id", "n_vectors", F.posexplode("embedding").alias("dim", "value")).withColumn(
         "value", F.round("value", 6))
 
@@ -781,15 +761,15 @@ def _taste(i: Inputs) -> DataFrame:
                                     _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
 def _cosine(i: Inputs) -> DataFrame:
     picked = recsys.pick_top_user(i.ratings, i.slices)
-    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices, users=F.broadcast(picked), dim=i.dim)
+    taste = recsys.taste_vectors(i.ratings, i.vectors, i.slices, users=picked)
     return recsys.score_items(taste, i.vectors, i.slices).withColumn("sim", F.round("sim", 6))
 
 
 @register("recommend_top5", _rec_sql("""
 SELECT t.iteration, t.user_id, CAST(t.rank AS INTEGER) AS rank, t.item_id, m.title, round(t.sim, 6) AS sim
-FROM top5 t LEFT JOIN movies m USING (item_id)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
+FROM top5 t JOIN movies m USING (item_id)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES))
 def _recommend(i: Inputs) -> DataFrame:
-    return recsys.top_user_recommendations(i.ratings, i.vectors, i.movies, i.slices, dim=i.dim).withColumn(
+    return recsys.top_user_recommendations(i.ratings, i.vectors, i.movies, i.slices).withColumn(
         "sim", F.round("sim", 6))
 
 
@@ -799,13 +779,13 @@ SELECT c.iteration, 'cold' AS user_type, CAST(NULL AS BIGINT) AS user_id, CAST(c
 FROM cold c JOIN movies m USING (item_id)
 UNION ALL
 SELECT t.iteration, 'top', t.user_id, CAST(t.rank AS INTEGER), t.item_id, m.title
-FROM top5 t LEFT JOIN movies m USING (item_id)
+FROM top5 t JOIN movies m USING (item_id)
 UNION ALL
 SELECT c.iteration, 'top', p.user_id, CAST(c.rank AS INTEGER), c.item_id, m.title
 FROM cold c JOIN movies m USING (item_id) JOIN picked p USING (iteration)
-WHERE c.iteration NOT IN (SELECT iteration FROM top5)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES, _POPULAR))
+WHERE c.iteration NOT IN (SELECT iteration FROM picked_vec)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES, _POPULAR))
 def _fallback(i: Inputs) -> DataFrame:
-    return recsys.recommendations_with_fallback(i.ratings, i.vectors, i.movies, i.slices, dim=i.dim)
+    return recsys.recommendations_with_fallback(i.ratings, i.vectors, i.movies, i.slices)
 
 
 # Fixed value: result documents carry a caller-supplied generation time so that
@@ -813,11 +793,103 @@ def _fallback(i: Inputs) -> DataFrame:
 GENERATED_AT = "1970-01-01T00:00:00Z"
 
 
-@register("recommendation_documents")
+@register("recommendation_documents", _rec_sql(f"""
+SELECT k.kind AS User_Type,
+       CASE WHEN k.kind = 'top' THEN strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(s.last_ts), '%Y-%m-%d %H:%M:%S') END AS Last_Interaction_Time,
+       CAST(CASE WHEN k.kind = 'top' THEN s.n ELSE 0 END AS BIGINT) AS Num_Ratings,
+       CASE WHEN k.kind = 'top' THEN CAST(format('{{:.2f}}', s.mean) AS DOUBLE) END AS Avg_Rating,
+       coalesce((SELECT string_agg(m.title, ' | ' ORDER BY r.rank) FROM (
+           SELECT 'cold' AS kind, iteration, rank, item_id FROM cold
+           UNION ALL SELECT 'top', iteration, rank, item_id FROM top5
+           UNION ALL SELECT 'top', iteration, rank, item_id FROM cold WHERE iteration NOT IN (SELECT iteration FROM picked_vec)
+         ) r JOIN movies m USING (item_id) WHERE r.kind = k.kind AND r.iteration = p.iteration), '') AS Recommendations,
+       p.iteration, '{GENERATED_AT}' AS generated_at
+FROM picked p
+JOIN (SELECT iteration, user_id, count(*) AS n, max(ts) AS last_ts, avg(rating) AS mean FROM cum GROUP BY ALL) s USING (iteration, user_id),
+     (VALUES ('cold'), ('top')) AS k(kind)""", _USER_COUNTS, _TOP_USERS, _PICKED, _TASTE, _SCORES, _POPULAR))
 def _documents(i: Inputs) -> DataFrame:
-    return recsys.recommendation_documents(i.ratings, i.vectors, i.movies, i.slices, GENERATED_AT, dim=i.dim)
+    docs = recsys.recommendation_documents(i.ratings, i.vectors, i.movies, i.slices, GENERATED_AT)
+    return docs.withColumn("Recommendations", F.array_join("Recommendations", " | "))
+
 
+_DIM = 64
 
-@register("embed_text")
+
+@register("embed_text", with_views(f"""
+SELECT c.item_id, c.place AS dim, round(c.w / n.norm, 6) AS value
+FROM cells c JOIN (SELECT item_id, sqrt(sum(w * w)) AS norm FROM cells GROUP BY item_id) n USING (item_id)""", "movies", extra_ctes=[f"""tok AS (
+  SELECT item_id, unnest(string_split_regex(lower(title || ': ' || replace(genres, '|', ' ')), '[^\\p{{L}}\\p{{N}}]+')) AS t FROM movies
+),
+tf AS (
+  SELECT item_id, CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % {_DIM} AS INTEGER) AS place, count(*) AS tf
+  FROM tok WHERE t <> '' GROUP BY ALL
+),
+idf AS (SELECT place, ln(((SELECT count(*) FROM movies) + 1) / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY place),
+cells AS (SELECT tf.item_id, tf.place, tf.tf * idf.idf AS w FROM tf JOIN idf USING (place))"""]))
 def _embed_text(i: Inputs) -> DataFrame:
-    return text.embed_text(text.with_item_text(i.movies))
+    found = text.embed_text(text.with_item_text(i.movies), dim=_DIM)
+    return found.select("item_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0").withColumn("value", F.round("value", 6))
+
+
+# ---- deterministic parts of the fare model (J1, J2, J6, D16, D17) ---------------
+_FRAME = f"(SELECT * FROM consolidated WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _MODEL_REQUIRED)})"
+_LINEAR = f"(SELECT *, 3.0::DOUBLE + trip_distance * 2.5::DOUBLE + trip_duration * 0.5::DOUBLE AS prediction FROM {_FRAME})"
+_INDEX = "(" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, count(*) AS n FROM {_FRAME} GROUP BY {c}" for c in model.CATEGORICAL_FEATURES) + ")"
+_INDEXED = f"""(SELECT feature, category, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, category) - 1 AS DOUBLE) AS category_index FROM {_INDEX})"""
+
+
+@register("category_index", _trip_sql(f"SELECT feature, category, category_index FROM {_INDEXED}"))
+def _category_index(i: Inputs) -> DataFrame:
+    return model.category_index(model.model_frame(i.consolidated))
+
+
+@register("assembled_features", _trip_sql(
+    "SELECT f.trip_id, " + ", ".join(f"round(CAST(f.{c} AS DOUBLE), 6) AS {c}" for c in model.NUMERIC_FEATURES) + ", "
+    + ", ".join(f"i{k}.category_index AS {c}_idx" for k, c in enumerate(model.CATEGORICAL_FEATURES)) + f" FROM {_FRAME} f "
+    + " ".join(f"JOIN {_INDEXED} i{k} ON i{k}.feature = '{c}' AND i{k}.category = CAST(f.{c} AS VARCHAR)" for k, c in enumerate(model.CATEGORICAL_FEATURES))))
+def _assembled(i: Inputs) -> DataFrame:
+    wide = model.assembled(model.model_frame(i.consolidated))
+    return wide.select("trip_id", *[F.round(c, 6).alias(c) for c in model.NUMERIC_FEATURES], *[f"{c}_idx" for c in model.CATEGORICAL_FEATURES])
+
+
+@register("linear_fare_metrics", _trip_sql(f"""
+WITH e AS (SELECT fare_amount AS y, prediction - fare_amount AS e FROM {_LINEAR})
+SELECT 'rmse' AS metric, round(sqrt(avg(e * e)), 6) AS value FROM e
+UNION ALL SELECT 'r2', round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) FROM e
+UNION ALL SELECT 'mae', round(avg(abs(e)), 6) FROM e""".replace("WITH e AS", "SELECT * FROM (WITH e AS") + ")"))
+def _linear_metrics(i: Inputs) -> DataFrame:
+    return model.evaluate(model.linear_prediction(model.model_frame(i.consolidated))).withColumn("value", F.round("value", 6))
+
+
+@register("linear_scored_by_hour_bin", _trip_sql(_kpi_sql(["Hour_Bin"], kpi.SCORED_HOUR_BIN_METRICS, _LINEAR, "num_trips")))
+def _linear_hour_bin(i: Inputs) -> DataFrame:
+    return kpi.kpi(model.linear_prediction(model.model_frame(i.consolidated)), ["Hour_Bin"], kpi.SCORED_HOUR_BIN_METRICS, "num_trips")
+
+
+@register("linear_scored_by_zone", _trip_sql(_kpi_sql(["pickup_boro"], kpi.SCORED_ZONE_METRICS, _LINEAR, "num_trips")))
+def _linear_zone(i: Inputs) -> DataFrame:
+    return kpi.kpi(model.linear_prediction(model.model_frame(i.consolidated)), ["pickup_boro"], kpi.SCORED_ZONE_METRICS, "num_trips")
+
+
+# ---- exclusion, point lookup, sample rows (B9, B10, A16) -------------------------
+_EXCLUDED_ZONE, _LEAST_TRIPS = "ASIA", 100
+
+
+@register("kpi_by_zone_excluding", _trip_sql(f"""
+SELECT * FROM ({_kpi_sql(["pickup_boro"], kpi.ZONE_METRICS)})
+WHERE pickup_boro <> '{_EXCLUDED_ZONE}' AND trip_count >= {_LEAST_TRIPS}"""))
+def _kpi_excluding(i: Inputs) -> DataFrame:
+    return cleaning.exclude_values(jobs.kpi_by_zone(i.consolidated), "pickup_boro", (_EXCLUDED_ZONE,), _LEAST_TRIPS)
+
+
+@register("zone_point_lookup", with_views("SELECT LocationID, Boro_Name FROM zones WHERE LocationID = 7", "zones"))
+def _point_lookup(i: Inputs) -> DataFrame:
+    return i.zones.where(F.col("LocationID") == 7)
+
+
+@register("trip_sample_rows", with_views(
+    "SELECT trip_id, PULocationID, DOLocationID, trip_distance FROM trips ORDER BY trip_id, PULocationID, DOLocationID, trip_distance LIMIT 5", "trips"))
+def _sample_rows(i: Inputs) -> DataFrame:
+    names = ["trip_id", "PULocationID", "DOLocationID", "trip_distance"]
+    return quality.sample_rows(i.trips.select(*names), names)

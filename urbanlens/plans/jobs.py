@@ -13,19 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlens.functions import (
-    assemble_timestamp_text,
     day_of_week,
     duration_minutes,
     guarded_ratio,
     hour_bin,
+    make_timestamp,
     nullify_sentinels,
     parse_int,
-    parse_timestamp,
     period,
     weekend_flag,
 )
 from urbanlens.operators import cleaning, enrich, kpi, model, profile, quality
 from urbanlens.operators.sampling import hash_split
+from urbanlens.session import cut_lineage
 from urbanlens.sources import sinks
 
 # The profile columns that must be present after consolidation.
@@ -52,7 +52,7 @@ def parse_sensor_volumes(raw: DataFrame) -> DataFrame:
 def clean_sensors(raw: DataFrame) -> DataFrame:
     """Parsed volumes, required anchors, assembled timestamp and weekday."""
     df = cleaning.require_not_null(parse_sensor_volumes(raw), ["SegmentID", "Boro"])
-    ts = parse_timestamp(assemble_timestamp_text("Yr", "M", "D", "HH", "MM"))
+    ts = make_timestamp("Yr", "M", "D", "HH", "MM")
     return df.withColumn("traffic_timestamp", ts).withColumn("day_of_week", day_of_week("traffic_timestamp"))
 
 
@@ -171,8 +171,7 @@ REPORT_COLUMNS = tuple(sorted(
 
 
 def congestion_report(features: DataFrame) -> CongestionReport:
-    """P4. The four outputs share one pruned input; cache it when all four are
-    written (see ``run_congestion_report``) — each is a small aggregate."""
+    """P4. Four small aggregates over the pruned input."""
     f = features.select(*REPORT_COLUMNS)
     return CongestionReport(kpi_by_hour_bin(f), kpi_by_zone(f), kpi_by_zone_period(f), kpi.correlations(f))
 
@@ -201,11 +200,13 @@ class FareModel:
 
 
 def fare_model(spark: SparkSession, features: DataFrame, seed: int = 42, **forest_params) -> FareModel:
-    """Train on a deterministic 80 % md5 split, score the rest (P5)."""
-    frame = model.model_frame(features)
+    """Train on a deterministic 80 % md5 split, score the rest (P5). The split is by
+    trip_id on purpose: trips that share an id stay on one side."""
+    # the joins behind the features run once, and the test side is scored once
+    frame = cut_lineage(model.model_frame(features))
     train, test = hash_split(frame, ["trip_id"], 0.8, seed)
     fitted = model.feature_pipeline(**forest_params).fit(train)
-    pred = fitted.transform(test)
+    pred = cut_lineage(fitted.transform(test).drop("features", "rawPrediction"))
     return FareModel(
         model=fitted,
         predictions=pred,
@@ -221,6 +222,11 @@ def fare_model(spark: SparkSession, features: DataFrame, seed: int = 42, **fores
 
 
 # ---------------------------------------------------------------- P6 quality
+# Columns described by the inspection.
+DESCRIBED_TRIP_COLUMNS = ("fare_amount", "trip_distance", "passenger_count", "total_amount")
+DESCRIBED_FEATURES = ("fare_amount", "trip_distance", "trip_duration", "average_velocity", "pickup_avg_median_volume", "dropoff_avg_median_volume")
+
+
 # Trip rule checks of the EDA (name -> predicate).
 def trip_rules() -> dict:
     return {

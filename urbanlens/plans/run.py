@@ -12,33 +12,30 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.functions.scalar import utc_epoch
+from urbanlens.functions import malformed_numeric
 from urbanlens.operators import cleaning, enrich, kpi, profile, quality, recsys, text
 from urbanlens.plans import jobs
 from urbanlens.sources import readers, sinks
 
-# Cumulative slice bounds of the recommendation workload
-# (UTC calendar days; each upper bound is the end of that day; the last is open).
+# Cumulative slices of the recommendation workload (UTC days; the
+# last one is open).
 DEFAULT_SLICES = recsys.Slices(
-    lo=utc_epoch(2000, 4, 25),
-    his=(
-        utc_epoch(2000, 8, 3, end_of_day=True),
-        utc_epoch(2000, 10, 31, end_of_day=True),
-        utc_epoch(2000, 11, 26, end_of_day=True),
-        None,
-    ),
+    first_day=_dt.date(2000, 4, 25),
+    last_days=(_dt.date(2000, 8, 3), _dt.date(2000, 10, 31), _dt.date(2000, 11, 26), None),
 )
 
 
 # ----------------------------------------------------------------------- P1
 def run_clean_trips(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Clean raw trips into ``dst``; returns the before/after counts (one row)."""
-    raw = readers.read_parquet(spark, src)
-    sinks.write_parquet(jobs.clean_trips(raw), dst)
-    return jobs.cleaning_counts(raw)
+    before, after = Observation(), Observation()
+    raw = readers.read_parquet(spark, src).observe(before, F.count(F.lit(1)).alias("n"))
+    sinks.write_parquet(jobs.clean_trips(raw).observe(after, F.count(F.lit(1)).alias("n")), dst)
+    n, kept = before.get["n"], after.get["n"]  # counted while writing
+    return spark.range(1).select(F.lit(n).alias("rows_before"), F.lit(kept).alias("rows_after"), F.lit(n - kept).alias("rows_removed"))
 
 
 # ----------------------------------------------------------------------- P2
@@ -71,13 +68,9 @@ def run_consolidate(
 
 # ----------------------------------------------------------------------- P4
 def run_congestion_report(spark: SparkSession, features_dir: str, out_dir: str) -> None:
-    """Three KPI tables and the correlation row; the pruned input is cached
-    because four aggregates read it."""
-    cached = readers.read_parquet(spark, features_dir).select(*jobs.REPORT_COLUMNS).cache()
-    try:
-        jobs.congestion_report(cached).write(out_dir)
-    finally:
-        cached.unpersist()
+    """Three KPI tables and the correlation row, each an aggregate over the pruned columns."""
+    features = readers.read_parquet(spark, features_dir).select(*jobs.REPORT_COLUMNS)
+    jobs.congestion_report(features).write(out_dir)
 
 
 # ----------------------------------------------------------------------- P5
@@ -91,22 +84,41 @@ def run_fare_model(
 
 
 # ----------------------------------------------------------------------- P6
-def run_quality_report(spark: SparkSession, trips_src: str | None, sensors_csv: str | None, out_dir: str) -> None:
-    """Null counts, rule violations and descriptive statistics (one scan each)."""
+def run_quality_report(
+    spark: SparkSession, trips_src: str | None, sensors_csv: str | None, out_dir: str, features_src: str | None = None
+) -> None:
+    """Table reports, null counts, rule violations, descriptive statistics and
+    frequencies of the trips, the sensor counts and the feature table."""
+
+    def write(df: DataFrame, name: str) -> None:
+        sinks.write_report_csv(df, f"{out_dir}/{name}")
+
     if trips_src:
         t = readers.read_parquet(spark, trips_src)
-        sinks.write_report_csv(quality.null_counts_long(t), f"{out_dir}/trip_nulls")
-        sinks.write_report_csv(quality.rule_counts(t, jobs.trip_rules()), f"{out_dir}/trip_rules")
-        cols = quality.columns_matching(t, names=["fare_amount", "trip_distance", "passenger_count", "total_amount"])
-        sinks.write_report_csv(quality.describe(t, cols), f"{out_dir}/trip_describe")
+        write(quality.table_report(t), "trip_table")
+        write(quality.null_counts_long(t), "trip_nulls")
+        write(quality.rule_counts(t, jobs.trip_rules()), "trip_rules")
+        write(quality.describe(t, quality.columns_matching(t, names=jobs.DESCRIBED_TRIP_COLUMNS)), "trip_describe")
     if sensors_csv:
         s = readers.read_csv(spark, sensors_csv, readers.SENSOR_COUNTS_SCHEMA)
-        sinks.write_report_csv(quality.null_counts_long(s), f"{out_dir}/sensor_nulls")
-        sinks.write_report_csv(quality.rule_counts(s, jobs.sensor_rules()), f"{out_dir}/sensor_rules")
-        sinks.write_report_csv(profile.coverage(s, "SegmentID"), f"{out_dir}/segment_coverage")
-        sinks.write_report_csv(quality.frequency(s, "Boro"), f"{out_dir}/sensor_by_zone")
-        sinks.write_report_csv(quality.frequency(s.filter(F.col("Vol") == "0"), "HH", order="key"),
-                               f"{out_dir}/zero_volume_by_hour")
+        write(quality.table_report(s), "sensor_table")
+        write(quality.null_counts_long(s), "sensor_nulls")
+        write(quality.rule_counts(s, {**jobs.sensor_rules(), "malformed_volume": malformed_numeric("Vol")}), "sensor_rules")
+        write(quality.describe(jobs.parse_sensor_volumes(s), ["Vol_numeric"]), "sensor_volume")
+        write(quality.count_distinct(s, ["SegmentID"]), "distinct_segments")
+        coverage = profile.coverage(s, "SegmentID")
+        write(coverage, "segment_coverage")
+        write(kpi.bottom_n(profile.key_counts(s, "SegmentID"), "n_rows", 5, ["SegmentID"]), "lowest_coverage")
+        write(quality.frequency(s, "Boro"), "sensor_by_zone")
+        write(quality.frequency(s, "Yr", order="key"), "records_per_year")
+        write(quality.frequency(s.filter(F.col("Vol") == "0"), "HH", order="key"), "zero_volume_by_hour")
+    if features_src:
+        f = readers.read_parquet(spark, features_src)
+        write(quality.table_report(f), "feature_table")
+        write(quality.null_counts_long(f, quality.columns_matching(f, contains=["volume"])), "feature_nulls")
+        write(quality.describe(f, quality.columns_matching(f, names=jobs.DESCRIBED_FEATURES)), "feature_describe")
+        write(quality.frequency(f, "Hour_Bin"), "feature_hour_bins")
+        write(quality.frequency(f, "Is_Weekend", order="key"), "feature_weekend")
 
 
 # ----------------------------------------------------------------------- P7
@@ -122,6 +134,7 @@ def run_chart_tables(
                              "pickup_boro", "period", ["Peak", "Off_Peak"], "avg_fare")
     sinks.write_report_csv(pivot, f"{out_dir}/peak_vs_offpeak")
     sinks.write_report_csv(kpi.reindex(spark, by_hour_bin, "Hour_Bin", kpi.HOUR_BIN_ORDER), f"{out_dir}/by_hour_bin")
+    sinks.write_report_csv(readers.read_report_csv(spark, f"{report_dir}/correlations"), f"{out_dir}/correlations")
 
 
 # ----------------------------------------------------------------------- P8
@@ -130,8 +143,8 @@ def run_item_vectors(
 ) -> None:
     """Item vectors and the catalogue, built once unless ``force``."""
     movies = readers.load_movies(spark, movies_path)
-    sinks.write_once(text.embed_text(text.with_item_text(movies), dim=dim), vectors_dst, force)
-    sinks.write_once(movies, meta_dst, force)
+    sinks.write_once(spark, lambda: text.embed_text(text.with_item_text(movies), dim=dim), vectors_dst, force)
+    sinks.write_once(spark, lambda: movies, meta_dst, force)
 
 
 # ----------------------------------------------------------------------- P9
@@ -173,7 +186,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--audit")
     a = sub.add_parser("congestion-report"); a.add_argument("features"); a.add_argument("out")
     a = sub.add_parser("fare-model"); [a.add_argument(x) for x in ("features", "model", "reports")]
-    a = sub.add_parser("quality-report"); a.add_argument("out"); a.add_argument("--trips"); a.add_argument("--sensors")
+    a = sub.add_parser("quality-report"); a.add_argument("out"); a.add_argument("--trips"); a.add_argument("--sensors"); a.add_argument("--features")
     a = sub.add_parser("chart-tables"); a.add_argument("reports"); a.add_argument("out")
     a.add_argument("--exclude", nargs="*", default=[]); a.add_argument("--min-rows", type=int)
     a = sub.add_parser("item-vectors"); [a.add_argument(x) for x in ("movies", "vectors", "meta")]
@@ -194,7 +207,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "fare-model":
         run_fare_model(spark, args.features, args.model, args.reports)
     elif args.job == "quality-report":
-        run_quality_report(spark, args.trips, args.sensors, args.out)
+        run_quality_report(spark, args.trips, args.sensors, args.out, args.features)
     elif args.job == "chart-tables":
         run_chart_tables(spark, args.reports, args.out, tuple(args.exclude), args.min_rows)
     elif args.job == "item-vectors":

@@ -9,43 +9,17 @@ DuckDB CTE (used by the oracle SQL).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.functions.scalar import utc_epoch
-
-
-_SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-# Fact tables whose scans feed the row-level work (joins, expressions, partial
-# aggregates); the dimension tables are broadcast and need no parallelism.
-FACT_TABLES = ("lineitem", "events")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table. The scan DataFrame (a plan, no data) is reused
-    per session so repeated queries skip file listing and footer reads.
-
-    The driver files hold one Parquet row group each, which the reader cannot
-    split: the whole fact table would be one task and every broadcast join and
-    expression over it would run on one core. When a fact scan yields fewer
-    partitions than the cluster's default parallelism it is spread round-robin
-    (deterministic: rows are sorted before the round-robin split). Inputs made
-    of many files / row groups — the normal case at scale — are left as scanned.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    hit = _SCANS.get((id(spark), path))
-    if hit is None or hit[0] is not spark:
-        df = spark.read.parquet(path)
-        if name in FACT_TABLES:
-            want = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
-        hit = (spark, df)
-        _SCANS[(id(spark), path)] = hit
-    return hit[1]
+    """Scan of one driver table, as laid out on disk."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # --------------------------------------------------------------------------- trips
@@ -166,15 +140,10 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Fixed values of the test mapping: cumulative slices start at LO and iteration i
-# ends at HI[i] (end of day, UTC); the last one is open.
-LO = utc_epoch(1995, 1, 1)
-HI: tuple[int | None, ...] = (
-    utc_epoch(1996, 12, 31, end_of_day=True),
-    utc_epoch(1998, 12, 31, end_of_day=True),
-    utc_epoch(2000, 6, 30, end_of_day=True),
-    None,
-)
+# Fixed values of the test mapping: cumulative slices start on FIRST_DAY and
+# iteration i ends with LAST_DAYS[i] (UTC days); the last one is open.
+FIRST_DAY = dt.date(1995, 1, 1)
+LAST_DAYS: tuple[dt.date | None, ...] = (dt.date(1996, 12, 31), dt.date(1998, 12, 31), dt.date(2000, 6, 30), None)
 
 
 # --------------------------------------------------------------------------- SQL
@@ -243,9 +212,10 @@ SQL_VIEWS: dict[str, str] = {
 
 
 def sql_bounds_cte() -> str:
-    rows = ", ".join(
-        f"({i}, {LO}, {'NULL' if hi is None else hi})" for i, hi in enumerate(HI)
-    )
+    """Half-open epoch bounds ``[lo, hi)`` of each iteration."""
+    first = f"CAST(epoch(DATE '{FIRST_DAY}') AS BIGINT)"
+    after = ["NULL" if d is None else f"CAST(epoch(DATE '{d}' + 1) AS BIGINT)" for d in LAST_DAYS]
+    rows = ", ".join(f"({i}, {first}, {hi})" for i, hi in enumerate(after))
     return f"bounds AS (SELECT * FROM (VALUES {rows}) AS t(iteration, lo, hi))"
 
 
