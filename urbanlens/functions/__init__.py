@@ -1,7 +1,7 @@
-"""Scalar ``Column -> Column`` expressions.
+"""Column expressions used by the operators: built-in Spark functions only.
 
-All of them are built-in Spark SQL expressions (JVM-side, inside whole-stage
-codegen); none is a Python UDF.
+Scalar expressions run inside whole-stage code generation; the vector functions are
+higher-order functions, which Spark interprets element by element.
 """
 
 from urbanlens.functions.scalar import (
