@@ -14,14 +14,14 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-GENERATION = 400_000
 
 
 class Cache:
-    """Remembers at most two generations of ``GENERATION`` entries; what is used
-    again moves to the young one, the rest goes when that is full."""
+    """Remembers at most two generations of ``generation`` entries (about 200 bytes each);
+    what is used again moves to the young one, the rest goes when that is full."""
 
-    def __init__(self):
+    def __init__(self, generation: int = 400_000):
+        self.generation = generation
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -35,7 +35,7 @@ class Cache:
             if run is None:
                 run = young[x] = made[x] if x in made else old[x]
             out.append(run)
-        if len(young) > GENERATION:
+        if len(young) > self.generation:
             self.young, self.old = {}, young
         return out
 

@@ -18,7 +18,15 @@ from urbanlens.session import checkpoint_dir
 BLOCK_BYTES = 1 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few megabytes at a time: ten thousand documents, the
+    usual batch, can be gigabytes, on the executor's JVM as well as in its workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +34,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet under the shared ``spark.checkpoint.dir`` and
     read it back: later plans start from files that outlive any executor."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

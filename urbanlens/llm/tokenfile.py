@@ -45,7 +45,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(raw.decode("utf-8"))
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.cache = Cache()
+        self.cache = Cache(700_000)
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in chunks], add_special_tokens=False)
