@@ -26,49 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from urbanlens.llm.chunks import Cache, encode_rows, gather
-from urbanlens.llm.common import read, text_blocks
+from urbanlens.llm.common import read, small_batches, text_blocks
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
-class RankQueue:
-    """Smallest-rank-first queue of positions; equal ranks leave leftmost first."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.low, self.mid, self.top = [0] * (ranks // 64 + 1), [0] * (ranks // 4096 + 1), 0
-
-    def push(self, rank: int, at: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, at)
-            return
-        self.buckets[rank] = [at]
-        word = rank >> 6
-        self.low[word] |= 1 << (rank & 63)
-        self.mid[word >> 6] |= 1 << (word & 63)
-        self.top |= 1 << (word >> 6)
-
-    def pop(self) -> tuple[int, int]:
-        """Smallest rank and its leftmost position; (-1, -1) when empty."""
-        top = self.top
-        if not top:
-            return -1, -1
-        a = (top & -top).bit_length() - 1
-        mid = self.mid[a]
-        b = (a << 6) + (mid & -mid).bit_length() - 1
-        low = self.low[b]
-        rank = (b << 6) + (low & -low).bit_length() - 1
-        bucket = self.buckets[rank]
-        at = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] = low & (low - 1)
-            if not self.low[b]:
-                self.mid[a] = mid & (mid - 1)
-                if not self.mid[a]:
-                    self.top = top & (top - 1)
-        return rank, at
+BIT = [1 << i for i in range(1024)]
 
 
 class Bpe:
@@ -77,7 +40,12 @@ class Bpe:
     def __init__(self, raw: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines()) if a}
         self.longest = max(map(len, self.ranks))
-        self.queue = RankQueue(max(self.ranks.values()) + 1)
+        count = max(self.ranks.values()) + 1
+        # a bucket is None, one position or a heap of positions; all are empty between merges
+        self.buckets: list[int | list[int] | None] = [None] * count
+        self.low = [0] * (count // 256 + 1)
+        if len(self.low) > len(BIT):
+            raise ValueError("more ranks than two levels of bitmaps hold")
         # white space by its Unicode property, as the public encoder has it
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
         self.chunks = Cache()
@@ -88,42 +56,58 @@ class Bpe:
         self.bytes = np.frombuffer(b"".join(a for _, a in tokens), np.uint8)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, longest = self.ranks, self.longest
+        """Ids of one pre-token. The queue's steps are written out: calls would double the time."""
+        ranks, longest, bit = self.ranks, self.longest, BIT
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, queue, find = len(piece), self.queue, ranks.get
-        push, pop = queue.push, queue.pop
+        n, find, buckets, low, top = len(piece), ranks.get, self.buckets, self.low, 0
         after, before = list(range(1, n + 2)), list(range(-1, n))
         pair = [find(piece[i : i + 2], -1) for i in range(n - 1)]
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                push(rank, i)
+        todo = list(enumerate(pair))  # positions to enter into their buckets
         pair += (-1, -1)
-        while queue.top:
-            rank, i = pop()
+        while True:
+            for at, rank in todo:
+                if rank >= 0:
+                    held = buckets[rank]
+                    if held is None:
+                        buckets[rank] = at
+                        word = rank >> 8
+                        low[word] |= bit[rank & 255]
+                        top |= bit[word]
+                    elif held.__class__ is int:
+                        buckets[rank] = [held, at] if held < at else [at, held]
+                    else:
+                        heappush(held, at)
+            todo = []
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            rank = (word << 8) + (bits & -bits).bit_length() - 1
+            held = buckets[rank]
+            i = held if held.__class__ is int else heappop(held)
+            if i is held or not held:
+                buckets[rank] = None
+                low[word] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale
             j = after[i]
             k = after[j]
             after[i] = k
             before[k] = i
-            pair[j] = pair[i] = -1
-            if k < n:
-                end = after[k]
-                if end - i <= longest:
-                    rank = find(piece[i:end], -1)
-                    if rank >= 0:
-                        pair[i] = rank
-                        push(rank, i)
+            pair[j] = -1
+            end = after[k] if k < n else n + longest + 1
+            pair[i] = rank = find(piece[i:end], -1) if end - i <= longest else -1
+            todo.append((i, rank))
             if i:
                 p = before[i]
                 rank = find(piece[p:k], -1) if k - p <= longest else -1
                 if rank != pair[p]:
                     pair[p] = rank
-                    if rank >= 0:
-                        push(rank, p)
+                    todo.append((p, rank))
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i : after[i]]])
@@ -157,6 +141,7 @@ def _loaded(raw: bytes, pattern: str) -> Bpe:
 
 def _shared(spark: SparkSession, path: str):
     """The vocabulary file (about a megabyte, whatever the corpus), broadcast."""
+    small_batches(spark)
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 
