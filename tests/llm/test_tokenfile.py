@@ -76,3 +76,23 @@ def test_damage_is_found():
             idcoder.decode_block(bytes(bad))
     with pytest.raises(ValueError, match="damaged"):
         idcoder.decode_block(b"")
+
+
+def test_literals_of_added_tokens_equal_the_library(spark, scratch):
+    default = Tokenizer.from_file(public_tokenizers.path(tokenfile.TOKENIZER))
+    rnd = random.Random(3)
+    letters = [*" \n\t'sdtmaé中\u0301\u00a0.<|>", "<|endoftext|>", "<|startoftext|>", "<|endoftext", "oftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    texts += ["a<|endoftext|>b", "<|endof", "text|>", "<|endoftext|>" * 3, "x <|startoftext|> y"]
+    with open(public_tokenizers.path(tokenfile.TOKENIZER), "rb") as f:
+        encoder = tokenfile._loaded(f.read())
+    got = []
+    for _, size, ids in encoder.rows(pa.array(texts)):
+        got += [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+    want = [e.ids for e in default.encode_batch(texts, add_special_tokens=False)]
+    assert got == want and sum(49407 in x for x in want) > 1000
+    tokenfile.write(frame(spark, list(enumerate(texts[-5:]))), f"{scratch}/ids")
+    rows = sorted(tuple(r) for r in tokenfile.read_back(spark, f"{scratch}/ids").collect())
+    sizes = [len(x) + 1 for x in want[-5:]]
+    assert [r[:3] for r in rows] == [(i, sum(sizes[:i]), n) for i, n in enumerate(sizes)]
+    assert [np.frombuffer(r[3], "<u4").tolist() for r in rows] == [[*x, 2] for x in want[-5:]]

@@ -40,8 +40,8 @@ class Cache:
         return out
 
 
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Byte positions where chunks start (each non-empty row starts one)."""
+def chunk_starts(data: np.ndarray, offsets: np.ndarray, whole: list[tuple[int, int]] | None = None) -> np.ndarray:
+    """Byte positions where chunks start (each non-empty row starts one). Each span of ``whole`` is a chunk."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 2:
@@ -72,6 +72,9 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         letter = (fold >= 0x61) & (fold <= 0x7A)
         mark = ~wide & (b > 0x20) & (b != 0x7F) & ~letter & ~((b >= 0x30) & (b <= 0x39))
         cut[1:n] |= letter[:-1] & mark[1:]
+    for a, b in whole or ():
+        cut[a + 1 : b] = False
+        cut[a] = cut[b] = True
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[:n])
 
@@ -85,11 +88,11 @@ def gather(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray, codes: n
     return values[index], ends
 
 
-def encode_rows(data: np.ndarray, offsets: np.ndarray, cache: Cache, encode: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def encode_rows(data: np.ndarray, offsets: np.ndarray, cache: Cache, encode: Callable[[list[bytes]], list[bytes]], whole: list[tuple[int, int]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows of a block and their offsets per row. ``encode`` turns chunks
     into packed little-endian 32-bit ids; ``cache`` remembers them."""
     rows = len(offsets) - 1
-    start = chunk_starts(data, offsets)
+    start = chunk_starts(data, offsets, whole)
     if not len(start):
         return np.zeros(0, "<u4"), np.zeros(rows + 1, np.int64)
     bounds = pa.py_buffer(np.append(start, len(data)).astype(np.int64))

@@ -8,13 +8,15 @@ ids before it in its part, documents, ids, payload) in the shared folder, so any
 rewrites its own blocks. Reading needs nothing but the payloads.
 
 Edge cases: NULL and empty texts hold only the end id; equal ids are ordered by text;
-repeated rows are each written; an empty table gives no blocks; a damaged block raises.
+repeated rows are each written; an empty table gives no blocks; a damaged block raises;
+an added token's literal in a text (``<|endoftext|>``) is that token, as by the library's defaults.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 
 import numpy as np
@@ -36,14 +38,20 @@ _TABLE = "part int, block int, first bigint, documents bigint, ids bigint, paylo
 
 
 class Encoder:
-    """The public tokenizer, asked once for each distinct chunk of text."""
+    """The public tokenizer, asked once for each distinct chunk of text. ``plain``: literals of
+    special tokens are text; else they are the tokens, as by the library's defaults."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, plain: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode("utf-8"))
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(x.normalized or x.lstrip or x.rstrip or x.single_word for x in added):
+            raise ValueError("added tokens must be matched as they are written")
+        self.literals = sorted((x.content.encode() for x in added), key=len, reverse=True)
+        self.literal = re.compile(b"|".join(map(re.escape, self.literals)))
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.cache = Cache(700_000)
 
@@ -51,10 +59,17 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in chunks], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Where the rows hold literals."""
+        raw = data.tobytes()
+        if not any(x in raw for x in self.literals):
+            return []
+        return [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in self.literal.finditer(raw, a, b)]
+
     def rows(self, texts: pa.Array):
         """(first row, sizes, ids) of blocks of rows, without end ids."""
         for lo, _, data, offsets in text_blocks(texts):
-            ids, ends = encode_rows(data, offsets, self.cache, self.encode_chunks)
+            ids, ends = encode_rows(data, offsets, self.cache, self.encode_chunks, self.spans(data, offsets))
             yield lo, np.diff(ends), ids
 
 
@@ -65,7 +80,7 @@ def _loaded(raw: bytes) -> Encoder:
     key = hashlib.sha256(raw).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Encoder(raw)
+        _LOADED[key] = Encoder(raw, plain=False)
     return _LOADED[key]
 
 
