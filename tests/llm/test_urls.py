@@ -50,3 +50,27 @@ def test_unlisted_urls_follow_the_votes_and_empty_tables(spark):
     assert urls.judge(pages(spark, listed).where("false")).count() == 0
     none = urls.judge(pages(spark, ["http://a.io/", None])).select(F.collect_set("verdict")).first()[0]
     assert none == ["allow"]
+
+
+def test_rules_use_every_token_with_support(spark):
+    # 40 words that tell one label each, all equally well, so 16 of them are no better than the rest
+    listed = [f"http://h.example.{'net/en' if i % 2 else 'com/de'}/w{i}x/{j}" for i in range(40) for j in range(8)]
+    parted = urls.with_parts(pages(spark, listed).drop("host", "verdict"))
+    _, verdict = urls.listed(urls.RULES)
+    marked = parted.withColumns({"label": verdict, "tokens": urls.tokens()}).where("label is not null").select("label", "tokens")
+    words = urls.vocabulary(marked)
+    data = [(r.label, frozenset(r.tokens)) for r in marked.collect()]
+    assert len(data) == len(listed) and set(words) == {x for _, t in data for x in t if sum(x in u for _, u in data) >= urls.MIN_SUPPORT * len(data)}
+    sets = {s for _, t in data for n in range(1, len(t) + 1) for s in map(frozenset, combinations(sorted(t), n))}
+    rules = {}
+    for s in sets:
+        n = sum(s <= t for _, t in data)
+        for v in ("allow", "block"):
+            both = sum(s <= t and x == v for x, t in data)
+            if both >= urls.MIN_SUPPORT * len(data) and both / n >= urls.MIN_CONFIDENCE:
+                rules[s, v] = both / n
+    want = {k: c for k, c in rules.items() if not any((frozenset(p), k[1]) in rules and rules[frozenset(p), k[1]] >= c for p in combinations(sorted(k[0]), len(k[0]) - 1))}
+    got = {(frozenset(r.tokens), r.verdict) for r in urls.mine(marked, words).collect()}
+    assert got == want.keys() and {(frozenset([f"path:w{i}x"]), "allow" if i % 2 else "block") for i in range(40)} <= got
+    rows = urls.judge(pages(spark, [*listed, *[f"http://q.io/w{i}x" for i in range(40)]])).where("rule is null").orderBy("page_id").collect()
+    assert [r.verdict for r in rows] == ["allow" if i % 2 else "block" for i in range(40)]

@@ -2,10 +2,8 @@
 
 A list of (host, path) rules judges the urls it fits; those judgements are the
 labels. Each url is a set of tokens (scheme, host labels, path words, query keys,
-extension). The ``MOST_TOKENS`` tokens that tell most about the label form the mining
-vocabulary, which bounds both the item sets (2^MOST_TOKENS) and the distinct
-token sets of any number of urls. Spark's FP-growth mines the combinations that occur
-with a label; rules need ``MIN_SUPPORT`` and ``MIN_CONFIDENCE``, and a longer rule stays
+extension). All tokens with ``MIN_SUPPORT`` form the mining vocabulary. Spark's
+FP-growth mines the combinations that occur with a label; rules need ``MIN_SUPPORT`` and ``MIN_CONFIDENCE``, and a longer rule stays
 only if it is more confident than every shorter rule inside it. Urls that no listed rule
 fits are judged by the mined rules: rules are found through an inverted index
 from token to rule, a rule matches when all of its tokens are found, and the
@@ -28,7 +26,6 @@ from urbanlens.llm.common import materialize, read
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.8
-MOST_TOKENS = 16
 
 
 @dataclass(frozen=True)
@@ -83,22 +80,19 @@ def tokens() -> Column:
     ))
 
 
-def vocabulary(marked: DataFrame, most: int = MOST_TOKENS) -> list[str]:
-    """The tokens with most information about ``label`` (``most`` at most), by name among equals."""
-    totals = marked.groupBy("label").count().collect()
-    n = {r.label: r["count"] for r in totals}
+def vocabulary(marked: DataFrame) -> list[str]:
+    """All tokens with ``MIN_SUPPORT``, of which there are at most a url's mean tokens
+    divided by ``MIN_SUPPORT``; none if all labels are equal."""
+    n = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
     if len(n) < 2:
         return []
-    total, block = float(sum(n.values())), float(n["block"])
-    counts = marked.select("label", F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == "block").cast("long")).alias("b"),
-    ).where(F.col("n") >= MIN_SUPPORT * total)
-    entropy = lambda part, whole: F.when((part <= 0) | (part >= whole), 0.0).otherwise(-(part / whole) * F.log2(part / whole) - (1 - part / whole) * F.log2(1 - part / whole))
-    k, b, t, bt = F.col("n").cast("double"), F.col("b").cast("double"), F.lit(total), F.lit(block)
-    rest = t - k
-    left = k / t * entropy(b, k) + F.when(rest > 0, rest / t * entropy(bt - b, rest)).otherwise(0.0)
-    best = counts.withColumn("left", F.round(left, 12)).orderBy("left", "token").limit(most)
-    return sorted(r.token for r in best.collect())
+    counts = marked.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    return sorted(r.token for r in counts.where(F.col("count") >= MIN_SUPPORT * sum(n.values())).collect())
+
+
+def among(words: list[str], column: str) -> Column:
+    """The tokens of ``column`` that are in ``words``, by a hashed set."""
+    return F.filter(column, lambda x: x.isin(words))
 
 
 def mine(marked: DataFrame, words: list[str]) -> DataFrame:
@@ -107,10 +101,8 @@ def mine(marked: DataFrame, words: list[str]) -> DataFrame:
     schema = "rule bigint, tokens array<string>, verdict string, confidence double, support double"
     if not words:
         return spark.createDataFrame([], schema)
-    known = F.array(*[F.lit(w) for w in words])
-    items = F.concat(F.array_intersect("tokens", known), F.array(F.concat(F.lit("="), F.col("label"))))
+    items = F.concat(among(words, "tokens"), F.array(F.concat(F.lit("="), F.col("label"))))
     found = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(marked.select(items.alias("items")))
-    # 2^(MOST_TOKENS + 2) rules at most, whatever the number of urls
     rules = (
         found.associationRules.where("startswith(consequent[0], '=') and not exists(antecedent, x -> startswith(x, '='))")
         .select(F.array_sort("antecedent").alias("tokens"), F.expr("substring(consequent[0], 2)").alias("verdict"), "confidence", "support")
@@ -143,12 +135,11 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     marked = parted.withColumns({"rule": name, "__listed": verdict}).withColumn("__tokens", tokens())
     train = marked.where("__listed is not null").select(F.col("__listed").alias("label"), F.col("__tokens").alias("tokens"))
     words = vocabulary(train)
-    known = F.array(*[F.lit(w) for w in words]).cast("array<string>")
-    signed = marked.withColumn("__signature", F.array_sort(F.array_intersect("__tokens", known)))
-    sets = signed.where("__listed is null").select("__signature").distinct()  # 2^MOST_TOKENS rows at most
+    signed = marked.withColumn("__signature", F.array_sort(among(words, "__tokens")))
+    sets = signed.where("__listed is null").select("__signature").distinct()
     mined = judge_sets(sets, mine(train, words))
     return (
-        signed.join(F.broadcast(mined), "__signature", "left")
+        signed.join(mined, "__signature", "left")
         .withColumn("verdict", F.coalesce("__listed", "__mined", F.lit("allow")))
         .drop("__rest", "__listed", "__tokens", "__signature", "__mined")
     )
