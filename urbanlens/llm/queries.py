@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import bpe, decontam, fingerprint, langid, pii, simhash, substring, tokenfile, toxicity, urls
+from urbanlens.llm import bpe, decontam, dialogue, fingerprint, langid, pii, simhash, substring, tokenfile, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": urls.query,
@@ -19,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.query,
     "op9_fingerprints": fingerprint.query,
     "op10_simhash": simhash.query,
+    "op11_conversations": dialogue.query,
 }
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": decontam.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": decontam.ORACLE, "op11_conversations": dialogue.ORACLE}
