@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import bpe, decontam, dialogue, fingerprint, langid, pii, simhash, substring, tokenfile, toxicity, urls
+from urbanlens.llm import bpe, decontam, dialogue, fingerprint, jaccard, langid, negatives, pii, simhash, substring, tokenfile, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": urls.query,
@@ -20,5 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": fingerprint.query,
     "op10_simhash": simhash.query,
     "op11_conversations": dialogue.query,
+    "op12_hard_negatives": negatives.query,
+    "op13_jaccard_join": jaccard.query,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": decontam.ORACLE,
+    "op11_conversations": dialogue.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_jaccard_join": jaccard.ORACLE,
 }
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": decontam.ORACLE, "op11_conversations": dialogue.ORACLE}
