@@ -120,3 +120,38 @@ def top_n(df: DataFrame, by: str, n: int, tiebreak: Sequence[str] = (), ascendin
 
 def bottom_n(df: DataFrame, by: str, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
     return top_n(df, by, n, tiebreak, ascending=True)
+
+
+# --- several reports from one scan: mergeable moments in cells, GROUPING SETS over the cells
+def moment_cells(df: DataFrame, keys: Sequence[str], averaged: Sequence[str], correlated: Mapping[str, str] | None = None, target: str = "fare_amount") -> DataFrame:
+    """One row per combination of ``keys``, by one aggregate over ``df``: the number of rows ``n``, sum and count of
+    each ``averaged`` column, and for each pair of a ``correlated`` column and ``target`` their number, means and
+    centred products. Such rows merge to those of any coarser grouping."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in averaged:
+        aggs += [F.sum(c).alias(f"{c}__sum"), F.count(c).alias(f"{c}__n")]
+    for name, c in (correlated or {}).items():
+        pair = F.col(c).isNotNull() & F.col(target).isNotNull()
+        x, y = (F.when(pair, F.col(k).cast("double")) for k in (c, target))
+        n = F.count(x)
+        aggs += [
+            n.alias(f"{name}__pairs"), F.avg(x).alias(f"{name}__x"), F.avg(y).alias(f"{name}__y"),
+            (F.var_pop(x) * n).alias(f"{name}__xx"), (F.var_pop(y) * n).alias(f"{name}__yy"), (F.covar_pop(x, y) * n).alias(f"{name}__xy"),
+        ]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def merged_mean(column: str, digits: int) -> Column:
+    return F.round(F.try_divide(F.sum(f"{column}__sum"), F.sum(f"{column}__n")), digits)
+
+
+def merged_correlation(name: str, digits: int | None = 6) -> Column:
+    """Pearson r of cells together: products about the cells' means, and of the means about the whole's."""
+    n, x, y = (F.col(f"{name}__{k}") for k in ("pairs", "x", "y"))
+    total = F.sum(n)
+
+    def product(own: str, a: Column, b: Column) -> Column:
+        return F.sum(f"{name}__{own}") + F.sum(n * a * b) - F.try_divide(F.sum(n * a) * F.sum(n * b), total)
+
+    r = F.try_divide(product("xy", x, y), F.sqrt(F.greatest(product("xx", x, x), F.lit(0.0)) * F.greatest(product("yy", y, y), F.lit(0.0))))
+    return F.round(r, digits) if digits is not None else r

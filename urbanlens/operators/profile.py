@@ -3,7 +3,8 @@
 Medians use ``percentile_disc`` (exact lower median). Its aggregation buffer is a
 map of *distinct values* to counts, merged partial -> final, so a hot group with a
 third of all rows costs memory proportional to its distinct volumes, not its
-rows. ``method="approx"`` uses the fixed-size quantile sketch instead.
+rows. ``method="approx"`` uses the fixed-size quantile sketch instead, ``method="select"`` distributed
+selection (exact, for groups of very many distinct values).
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urbanlens.operators.selection import select_quantiles
+
 
 def median(value: str, method: str = "exact", accuracy: int = 10000) -> Column:
     if method == "exact":
@@ -29,7 +32,10 @@ def median_profile(
     alias: str = "historical_median_volume",
     method: str = "exact",
 ) -> DataFrame:
-    """One row per key group with the median of ``value`` (int)."""
+    """One row per key group with the median of ``value`` (int). ``method="select"`` finds exact
+    medians by selection, in memory that does not grow with the distinct values."""
+    if method == "select":
+        return select_quantiles(df, keys, value).select(*keys, F.col("value").cast("int").alias(alias))
     return df.groupBy(*keys).agg(median(value, method).cast("int").alias(alias))
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from urbanlens.functions.scalar import day_start, epoch_to_text, round_half_even
 from urbanlens.functions.vectors import dot, l2_normalize
 from urbanlens.operators.sampling import pick_one, sample_keys
+from urbanlens.operators.topk import top_items
 from urbanlens.session import cut_lineage
 
 # Recommendation parameters of the surveyed job.
@@ -294,14 +295,16 @@ def seen_items(ratings: DataFrame, users: DataFrame, slices: Slices, distinct: b
 def score_items(user_vectors: DataFrame, vectors: DataFrame, slices: Slices) -> DataFrame:
     """Cosine of each iteration's user vector against every item vector.
 
-    ``user_vectors`` holds one vector per iteration. Every vector is normalised once,
+    ``user_vectors`` holds one vector per iteration, which is checked while scoring (a second one is an
+    error; ``recommend_all`` serves many users). Every vector is normalised once,
     before the items are copied to the iterations, so a pair costs one dot product;
     a zero vector has similarity 0.
     """
     items = vectors.select(
         "item_id", l2_normalize(F.col("embedding").cast("array<double>")).alias("item_vec")
     ).withColumn("iteration", F.explode(F.sequence(F.lit(0), F.lit(slices.n - 1))))
-    u = user_vectors.select("iteration", "user_id", l2_normalize("embedding").alias("user_vec"))
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("score_items takes one user per iteration"))).otherwise(F.first("user_id")).alias("user_id")
+    u = user_vectors.groupBy("iteration").agg(one, l2_normalize(F.first("embedding")).alias("user_vec"))
     return items.join(u, "iteration").select(
         "iteration", "user_id", "item_id", dot("user_vec", "item_vec").alias("sim")
     )
@@ -320,6 +323,13 @@ def recommend(
     )
 
 
+def recommend_all(users: DataFrame, ratings: DataFrame, vectors: DataFrame, slices: Slices, n: int = TOP_N) -> DataFrame:
+    """``(iteration, user_id, rank, item_id, sim)``: the top ``n`` unseen items of every stored user, by
+    blocked matrix products; see ``operators.topk``."""
+    users = cut_lineage(users.select("iteration", "user_id", "embedding"))
+    return top_items(users, vectors, n, seen_items(ratings, users, slices))
+
+
 def user_vectors_for(
     ratings: DataFrame, vectors: DataFrame, slices: Slices, users: DataFrame,
     state: DataFrame | None = None,

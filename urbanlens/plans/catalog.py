@@ -10,9 +10,11 @@ averages are rounded in both so summation order cannot change a hash.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from urbanlens.functions.hashing import hash_threshold
 from urbanlens.operators import cleaning, enrich, kpi, model, profile, quality, recsys, text
 from urbanlens.operators.sampling import hash_split_label
 from urbanlens.plans import jobs
+from urbanlens.session import checkpoint_dir
 from urbanlens.sources import testdata
 from urbanlens.sources.testdata import with_views
 
@@ -667,28 +670,34 @@ def _hash_split(i: Inputs) -> DataFrame:
     return model.model_frame(i.consolidated).groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _fare_model(i: Inputs) -> jobs.FareModel:
-    return jobs.fare_model(i.spark, i.consolidated)
+# The forest is fitted once for its input files and parameters and stored; the queries read it.
+def _stored_model(i: Inputs) -> str:
+    inputs = {t: os.path.join(i.sf_dir, f"{t}.parquet") for t in ("lineitem", "orders", "customer", "supplier", "nation", "region", "events")}
+    return jobs.stored_fare_model(i.spark, lambda: i.consolidated, f"{checkpoint_dir(i.spark)}/fare-model", inputs)
+
+
+def _scored(i: Inputs) -> DataFrame:
+    return i.spark.read.parquet(f"{_stored_model(i)}/predictions")
 
 
 @register("fare_model_metrics")
 def _model_metrics(i: Inputs) -> DataFrame:
-    return _fare_model(i).metrics
+    return model.evaluate(_scored(i))
 
 
 @register("fare_model_importance")
 def _model_importance(i: Inputs) -> DataFrame:
-    return _fare_model(i).importance
+    return model.importance_table(i.spark, PipelineModel.load(f"{_stored_model(i)}/model"))
 
 
 @register("scored_by_hour_bin")
 def _scored_hour_bin(i: Inputs) -> DataFrame:
-    return _fare_model(i).scored_by_hour_bin
+    return kpi.kpi(_scored(i), ["Hour_Bin"], kpi.SCORED_HOUR_BIN_METRICS, "num_trips", [F.desc("avg_pickup_traffic_vol")])
 
 
 @register("scored_by_zone")
 def _scored_zone(i: Inputs) -> DataFrame:
-    return _fare_model(i).scored_by_zone
+    return kpi.kpi(_scored(i), ["pickup_boro"], kpi.SCORED_ZONE_METRICS, "num_trips", [F.desc("avg_traffic_vol")])
 
 
 # ---- recommendations
@@ -893,3 +902,6 @@ def _point_lookup(i: Inputs) -> DataFrame:
 def _sample_rows(i: Inputs) -> DataFrame:
     names = ["trip_id", "PULocationID", "DOLocationID", "trip_distance"]
     return quality.sample_rows(i.trips.select(*names), names)
+
+
+from urbanlens.plans import queries_models, queries_state  # noqa: E402,F401  (they register more queries)

@@ -1,11 +1,13 @@
 """Composite jobs (P1–P10), each a function of input DataFrames.
 
-Nothing here triggers an action (the writers live in ``plans.run``); callers
-compose the returned DataFrames and Spark optimises each plan as a whole.
+Callers compose the returned DataFrames and Spark optimises each plan as a whole; the
+writers live in ``plans.run``. Only ``fare_model`` (it fits and scores) and what says
+that it is written once trigger actions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -26,7 +28,7 @@ from urbanlens.functions import (
 from urbanlens.operators import cleaning, enrich, kpi, model, profile, quality
 from urbanlens.operators.sampling import hash_split
 from urbanlens.session import cut_lineage
-from urbanlens.sources import sinks
+from urbanlens.sources import sinks, versions
 
 # The profile columns that must be present after consolidation.
 PROFILE_REQUIRED = ("pickup_avg_median_volume", "dropoff_avg_median_volume")
@@ -166,14 +168,50 @@ class CongestionReport:
 # Columns the congestion report reads (everything else is pruned at the scan).
 REPORT_COLUMNS = tuple(sorted(
     {c for _, c, _ in kpi.HOUR_BIN_METRICS} | set(kpi.FARE_CORRELATES.values())
-    | {"fare_amount", "Hour_Bin", "Is_Weekend", "pickup_boro"}
+    | {"fare_amount", "Hour_Bin", "pickup_boro"}
 ))
 
 
+def report_cells(features: DataFrame) -> DataFrame:
+    """Moments by hour bin and zone: all that the congestion report needs, from one scan."""
+    averaged = list(dict.fromkeys(c for _, c, _ in kpi.HOUR_BIN_METRICS))
+    return with_period(kpi.moment_cells(features, ["Hour_Bin", "pickup_boro"], averaged, kpi.FARE_CORRELATES))
+
+
+def congestion_tables(cells: DataFrame) -> DataFrame:
+    """The report's four tables as one, by GROUPING SETS over the cells: ``report`` names a row's table, and
+    what that table does not have is NULL."""
+    named = {"by_hour_bin": kpi.HOUR_BIN_METRICS, "by_zone": kpi.ZONE_METRICS, "by_zone_period": kpi.ZONE_PERIOD_METRICS}
+    keys = ["Hour_Bin", "pickup_boro", "period"]
+    sets = [["Hour_Bin"], ["pickup_boro"], ["pickup_boro", "period"], []]
+    found = cells.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("set"), F.sum("n").alias("trip_count"),
+        *[kpi.merged_mean(c, d).alias(n) for n, c, d in kpi.HOUR_BIN_METRICS],
+        *[kpi.merged_correlation(n).alias(f"corr_{n}") for n in kpi.FARE_CORRELATES],
+    )
+    report = F.when(F.col("set") == 3, "by_hour_bin").when(F.col("set") == 5, "by_zone").when(F.col("set") == 4, "by_zone_period").otherwise("correlations")
+    rows = found.withColumn("report", report)
+    # a total of nothing is no table of KPIs
+    has = lambda name: F.col("report").isin([r for r, m in named.items() if name in [n for n, _, _ in m]])
+    return rows.select(
+        "report", *keys, F.coalesce("trip_count", F.lit(0)).alias("trip_count"), *[F.when(has(n), F.col(n)).alias(n) for n, _, _ in kpi.HOUR_BIN_METRICS],
+        *[F.when(F.col("report") == "correlations", F.col(f"corr_{n}")).alias(f"corr_{n}") for n in kpi.FARE_CORRELATES],
+    )
+
+
 def congestion_report(features: DataFrame) -> CongestionReport:
-    """P4. Four small aggregates over the pruned input."""
-    f = features.select(*REPORT_COLUMNS)
-    return CongestionReport(kpi_by_hour_bin(f), kpi_by_zone(f), kpi_by_zone_period(f), kpi.correlations(f))
+    """P4. One scan of the pruned input makes the cells, which are written once; the tables come from them."""
+    tables = congestion_tables(cut_lineage(report_cells(features.select(*REPORT_COLUMNS))))
+
+    def table(name: str, keys: list[str], metrics) -> DataFrame:
+        return tables.where(F.col("report") == name).select(*keys, "trip_count", *[n for n, _, _ in metrics])
+
+    return CongestionReport(
+        table("by_hour_bin", ["Hour_Bin"], kpi.HOUR_BIN_METRICS).orderBy(F.desc("avg_fare")),
+        table("by_zone", ["pickup_boro"], kpi.ZONE_METRICS).orderBy(F.desc("avg_fare")),
+        table("by_zone_period", ["pickup_boro", "period"], kpi.ZONE_PERIOD_METRICS).orderBy("pickup_boro", "period"),
+        tables.where("report = 'correlations'").select(*[F.col(f"corr_{n}").alias(n) for n in kpi.FARE_CORRELATES]),
+    )
 
 
 # ------------------------------------------------------------------- P7 charts
@@ -199,14 +237,8 @@ class FareModel:
     scored_by_zone: DataFrame
 
 
-def fare_model(spark: SparkSession, features: DataFrame, seed: int = 42, **forest_params) -> FareModel:
-    """Train on a deterministic 80 % md5 split, score the rest (P5). The split is by
-    trip_id on purpose: trips that share an id stay on one side."""
-    # the joins behind the features run once, and the test side is scored once
-    frame = cut_lineage(model.model_frame(features))
-    train, test = hash_split(frame, ["trip_id"], 0.8, seed)
-    fitted = model.feature_pipeline(**forest_params).fit(train)
-    pred = cut_lineage(fitted.transform(test).drop("features", "rawPrediction"))
+def fare_reports(spark: SparkSession, fitted: PipelineModel, pred: DataFrame) -> FareModel:
+    """Everything that is reported of a fitted model and the scored test side."""
     return FareModel(
         model=fitted,
         predictions=pred,
@@ -221,6 +253,35 @@ def fare_model(spark: SparkSession, features: DataFrame, seed: int = 42, **fores
     )
 
 
+def fare_model(spark: SparkSession, features: DataFrame, seed: int = 42, **forest_params) -> FareModel:
+    """Train on a deterministic 80 % md5 split, score the rest (P5). The split is by
+    trip_id on purpose: trips that share an id stay on one side."""
+    # the joins behind the features run once, and the test side is scored once
+    frame = cut_lineage(model.model_frame(features))
+    train, test = hash_split(frame, ["trip_id"], 0.8, seed)
+    fitted = model.feature_pipeline(**forest_params).fit(train)
+    pred = cut_lineage(fitted.transform(test).drop("features", "rawPrediction"))
+    return fare_reports(spark, fitted, pred)
+
+
+def stored_fare_model(
+    spark: SparkSession, features: Callable[[], DataFrame], root: str, inputs: Mapping[str, str], seed: int = 42, **forest_params
+) -> str:
+    """Folder with ``model`` and the scored test side ``predictions``, fitted once for these
+    ``inputs`` (named paths) and parameters; ``features`` is called only if it must be fitted."""
+
+    def write(folder: str) -> None:
+        made = fare_model(spark, features(), seed, **forest_params)
+        sinks.save_model(made.model, f"{folder}/model")
+        sinks.write_parquet(made.predictions, f"{folder}/predictions")
+
+    return versions.build(spark, root, inputs, write, {"seed": seed, **model.FOREST_PARAMS, **forest_params})
+
+
+def read_fare_model(spark: SparkSession, folder: str) -> FareModel:
+    return fare_reports(spark, PipelineModel.load(f"{folder}/model"), spark.read.parquet(f"{folder}/predictions"))
+
+
 # ---------------------------------------------------------------- P6 quality
 # Columns described by the inspection.
 DESCRIBED_TRIP_COLUMNS = ("fare_amount", "trip_distance", "passenger_count", "total_amount")
