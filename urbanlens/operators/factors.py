@@ -48,7 +48,7 @@ def gram(rows: DataFrame, dim: int, column: str = "cells") -> DataFrame:
     return sums.groupBy("at").agg(Summarizer.sum(array_to_vector("products")).alias("s")).select("at", vector_to_array("s").alias("products"))
 
 
-def leading(matrix: np.ndarray, rank: int, oversample: int = 8, power: int = 6, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+def leading(matrix: np.ndarray, rank: int, oversample: int = 8, power: int = 16, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
     """Leading singular values of X and its right singular vectors (columns) from X'X."""
     dim = len(matrix)
     wide = min(dim, rank + oversample)

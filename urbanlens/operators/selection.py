@@ -11,6 +11,7 @@ and counts, not rows (but for the last windows).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,19 +23,22 @@ BINS = 64
 FEW = 10_000
 
 
+def _copies(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"__key_{k}") for k in keys]
+
+
 def _equal(keys: Sequence[str]) -> Column:
     """Keys equal their copies on the other side; NULL keys are a group like any other."""
     cond = F.lit(True)
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     return cond
 
 
-def _windowed(rows: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _windowed(rows: DataFrame, state: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
     """Rows inside their group's windows, a copy for each window."""
-    s = state.select(*[F.col(k).alias(f"__{k}") for k in keys], "fraction", "k", "low", "high")
-    inside = F.col("__v").between(F.col("low"), F.col("high"))
-    return rows.join(s, _equal(keys) & inside).select(*keys, "fraction", "k", "__v")
+    s = state.select(*_copies(keys), "fraction", "__low", "__high", *more)
+    return rows.join(s, _equal(keys) & F.col("__v").between(F.col("__low"), F.col("__high")))
 
 
 def select_quantiles(
@@ -47,52 +51,49 @@ def select_quantiles(
         raise ValueError("fractions lie above 0 and reach 1 at most")
     keys = list(keys)
     rows = df.select(*keys, F.col(value).alias("__v"))
-    per_group = rows.groupBy(*keys).agg(F.count("__v").alias("m"), F.min("__v").alias("low"), F.max("__v").alias("high"))
-    q = F.explode(F.array(*[F.lit(float(x)) for x in fractions])).alias("fraction")
-    start = per_group.select(*keys, "m", "low", "high", q).withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("fraction") * F.col("m")).cast("long")))
-    state = cut_lineage(start.select(*keys, "fraction", "k", "m", "low", "high"))
-    found = state.where("m = 0 or low = high").select(*keys, "fraction", F.col("low").alias("value"))
+    per_group = rows.groupBy(*keys).agg(F.count("__v").alias("__rows"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    each = F.explode(F.array(*[F.lit(float(q)) for q in fractions])).alias("fraction")
+    rank = F.greatest(F.lit(1), F.ceil(F.col("fraction") * F.col("__rows")).cast("long")).alias("__rank")
+    state = cut_lineage(per_group.select("*", each).select(*keys, "fraction", rank, "__rows", "__low", "__high"))
+    done = [state.where("__rows = 0 or __low = __high")]
+    small = []
     rows = rows.where("__v is not null")
-    order = [*keys, "fraction", "k", "m", "low", "high"]
-    small = None
     while True:
-        open_ = state.where("m > 0 and low <> high")
-        now = open_.where(F.col("m") <= few).select(*order)
-        small = now if small is None else small.unionByName(now)
-        wide = cut_lineage(open_.where(F.col("m") > few).select(*order))
+        left = state.where("__rows > 0 and __low <> __high")
+        small.append(left.where(F.col("__rows") <= few))
+        wide = cut_lineage(left.where(F.col("__rows") > few))
         n = wide.count()
         if not n:
             break
         if rounds is not None:
             rounds.append(n)
-        at = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-        splits = _windowed(rows, wide, keys).groupBy(*keys, "fraction").agg(F.percentile_approx("__v", at, F.lit(10 * bins)).alias("splits"))
-        named = splits.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("fraction").alias("__fraction"), F.array_distinct("splits").alias("splits"))
-        split = wide.join(named, _equal(keys) & (F.col("fraction") == F.col("__fraction"))).select(*order, "splits")
-        state = _narrow(rows, cut_lineage(split), keys)
-        found = found.unionByName(state.where("low = high").select(*keys, "fraction", F.col("low").alias("value")))
-    held = _windowed(rows, small, keys).groupBy(*keys, "fraction").agg(F.element_at(F.array_sort(F.collect_list("__v")), F.first("k").cast("int")).alias("value"))
-    return found.unionByName(held)
+        state = _narrow(rows, wide, keys, bins)
+        done.append(state.where("__low = __high"))
+    ready = functools.reduce(DataFrame.unionByName, done).select(*keys, "fraction", F.col("__low").alias("value"))
+    held = _windowed(rows, functools.reduce(DataFrame.unionByName, small), keys, "__rank").groupBy(*keys, "fraction")
+    return ready.unionByName(held.agg(F.element_at(F.array_sort(F.collect_list("__v")), F.first("__rank").cast("int")).alias("value")))
 
 
-def _narrow(rows: DataFrame, wide: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _narrow(rows: DataFrame, wide: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
     """Windows after one round: the bin (a splitter, or what lies between two) that holds the rank."""
-    s = wide.select(*[F.col(k).alias(f"__{k}") for k in keys], "fraction", "low", "high", "splits")
-    inside = F.col("__v").between(F.col("low"), F.col("high"))
-    less = F.size(F.filter("splits", lambda x: x < F.col("__v")))
-    place = 2 * less + F.array_contains("splits", F.col("__v")).cast("int")
+    at = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    splits = _windowed(rows, wide, keys).groupBy(*keys, "fraction").agg(F.array_distinct(F.percentile_approx("__v", at, F.lit(10 * bins))).alias("__splits"))
+    named = splits.select(*_copies(keys), F.col("fraction").alias("__fraction"), "__splits")
+    split = cut_lineage(wide.join(named, _equal(keys) & (F.col("fraction") == F.col("__fraction"))).select(*wide.columns, "__splits"))
+    below = F.size(F.filter("__splits", lambda x: x < F.col("__v")))
+    place = 2 * below + F.array_contains("__splits", F.col("__v")).cast("int")
     counts = (
-        rows.join(s, _equal(keys) & inside).groupBy(*keys, "fraction", place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("bin_low"), F.max("__v").alias("bin_high"))
-        .groupBy(*keys, "fraction").agg(F.sort_array(F.collect_list(F.struct("bin", "n", "bin_low", "bin_high"))).alias("bins"))  # 2 * BINS + 1 at most
+        _windowed(rows, split, keys, "__splits").groupBy(*keys, "fraction", place.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("low"), F.max("__v").alias("high"))
+        .groupBy(*keys, "fraction").agg(F.sort_array(F.collect_list(F.struct("bin", "n", "low", "high"))).alias("__bins"))  # 2 * bins at most
     )
-    ranks = wide.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("fraction").alias("__fraction"), "k")
-    joined = counts.join(ranks, _equal(keys) & (F.col("fraction") == F.col("__fraction")))
+    ranks = wide.select(*_copies(keys), F.col("fraction").alias("__fraction"), "__rank")
     kind = dict(rows.dtypes)["__v"]
-    before = F.expr(
-        f"aggregate(bins, named_struct('n', 0L, 'at', 0L, 'hit', cast(null as struct<bin:int,n:bigint,bin_low:{kind},bin_high:{kind}>)), "
-        "(s, b) -> named_struct('n', s.n + b.n, 'at', if(s.n < k, s.n, s.at), 'hit', if(s.n < k, b, s.hit)))"
-    )
-    return cut_lineage(
-        joined.withColumn("w", before).select(*keys, "fraction", (F.col("k") - F.col("w.at")).alias("k"), F.col("w.hit.n").alias("m"), F.col("w.hit.bin_low").alias("low"), F.col("w.hit.bin_high").alias("high"))
+    hit = F.expr(
+        f"aggregate(__bins, named_struct('n', 0L, 'at', 0L, 'hit', cast(null as struct<bin:int,n:bigint,low:{kind},high:{kind}>)), "
+        "(s, b) -> named_struct('n', s.n + b.n, 'at', if(s.n < __rank, s.n, s.at), 'hit', if(s.n < __rank, b, s.hit)))"
     )
+    found = counts.join(ranks, _equal(keys) & (F.col("fraction") == F.col("__fraction"))).withColumn("__w", hit)
+    return cut_lineage(found.select(
+        *keys, "fraction", (F.col("__rank") - F.col("__w.at")).alias("__rank"), F.col("__w.hit.n").alias("__rows"), F.col("__w.hit.low").alias("__low"), F.col("__w.hit.high").alias("__high")
+    ))
