@@ -61,7 +61,11 @@ def coverage(df: DataFrame, key: str) -> DataFrame:
 
     The quartiles are exact; their buffers hold one entry per distinct count.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return coverage_of(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+
+
+def coverage_of(per_key: DataFrame) -> DataFrame:
+    """Summary of the counts ``n``, a row per key."""
     pct = {"min_rows": None, "p25_rows": 0.25, "p50_rows": 0.5, "p75_rows": 0.75, "max_rows": None}
     aggs = []
     for name, p in pct.items():

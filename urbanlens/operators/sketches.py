@@ -74,7 +74,7 @@ def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFra
         none = F.lit(None).cast("double")
         fields = [F.lit(c).alias("column_name"), F.col("n_rows").alias("n_rows"), _q(f"{c}__nulls").alias("nulls")]
         fields += [(_q(f"{c}__{k}") if number else none).alias(n) for k, n in (("low", "least"), ("high", "most"), ("mean", "mean"))]
-        deviation = F.sqrt(F.try_divide(_q(f"{c}__square"), F.nullif(_q(f"{c}__n") - 1, F.lit(0)))) if number else none
+        deviation = F.when(_q(f"{c}__n") > 1, F.sqrt(_q(f"{c}__square") / (_q(f"{c}__n") - 1))) if number else none
         some = F.array(*[F.lit(float(x)) for x in quantiles])
         estimates = F.when(_q(f"{c}__n") > 0, F.kll_sketch_get_quantile_double(_q(f"{c}__kll"), some)) if number else F.lit(None).cast("array<double>")
         fields += [deviation.alias("stddev"), F.hll_sketch_estimate(_q(f"{c}__distinct")).alias("distinct_estimate"), estimates.alias("quantiles")]

@@ -904,4 +904,4 @@ def _sample_rows(i: Inputs) -> DataFrame:
     return quality.sample_rows(i.trips.select(*names), names)
 
 
-from urbanlens.plans import queries_models, queries_state  # noqa: E402,F401  (they register more queries)
+from urbanlens.plans import queries_models, queries_sources, queries_state  # noqa: E402,F401  (they register more queries)

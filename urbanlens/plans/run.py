@@ -15,10 +15,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.functions import malformed_numeric
-from urbanlens.operators import cleaning, enrich, kpi, profile, quality, recsys, text
+from urbanlens.functions import malformed_numeric, nullify_sentinels, parse_int
+from urbanlens.operators import cleaning, enrich, kpi, profile, quality, recsys, state, text
+from urbanlens.operators.inspection import inspect
 from urbanlens.plans import jobs
-from urbanlens.sources import readers, sinks
+from urbanlens.sources import drift, quarantine, readers, sinks, versions
 
 # Cumulative slices of the recommendation workload (UTC days; the
 # last one is open).
@@ -30,17 +31,23 @@ DEFAULT_SLICES = recsys.Slices(
 
 # ----------------------------------------------------------------------- P1
 def run_clean_trips(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Clean raw trips into ``dst``; returns the before/after counts (one row)."""
+    """Clean raw trips into ``dst``; returns the before/after counts (one row). The files of ``src`` may differ in
+    their columns' types (months of many years)."""
     before, after = Observation(), Observation()
-    raw = readers.read_parquet(spark, src).observe(before, F.count(F.lit(1)).alias("n"))
+    raw = drift.read_drifting(spark, src).observe(before, F.count(F.lit(1)).alias("n"))
     sinks.write_parquet(jobs.clean_trips(raw).observe(after, F.count(F.lit(1)).alias("n")), dst)
     n, kept = before.get["n"], after.get["n"]  # counted while writing
     return spark.range(1).select(F.lit(n).alias("rows_before"), F.lit(kept).alias("rows_after"), F.lit(n - kept).alias("rows_removed"))
 
 
 # ----------------------------------------------------------------------- P2
-def run_sensor_profile(spark: SparkSession, csv_path: str, dst: str, method: str = "exact") -> None:
-    raw = readers.read_csv(spark, csv_path, readers.SENSOR_COUNTS_SCHEMA)
+def run_sensor_profile(spark: SparkSession, csv_path: str, dst: str, method: str = "exact", quarantine_dst: str | None = None) -> None:
+    """Median profile of the sensor counts; with ``quarantine_dst`` rows that do not fit the schema are kept there
+    and take no part."""
+    if quarantine_dst:
+        raw = quarantine.load(spark, csv_path, readers.SENSOR_COUNTS_SCHEMA, quarantine_dst).good
+    else:
+        raw = readers.read_csv(spark, csv_path, readers.SENSOR_COUNTS_SCHEMA)
     sinks.write_parquet(jobs.sensor_profile(raw, method), dst)
 
 
@@ -58,17 +65,20 @@ def run_consolidate(
     zprofile = profile.rollup_profile(readers.read_parquet(spark, sensor_profile_dir))
     zones = readers.read_lookup(spark, lookup_csv)
     enrich.assert_unique(zones, ["LocationID"])  # a duplicated key would add trips
-    enriched = jobs.enrich_trips(trips, zones, zprofile)
-    features = jobs.apply_guardrails(enriched).dropna(subset=list(jobs.PROFILE_REQUIRED))
-    sinks.write_parquet(features, dst)
-    if audit_dst:
-        audit = enrich.join_audit(trips, enriched, ["pickup_boro", "dropoff_boro", *jobs.PROFILE_REQUIRED])
-        sinks.write_report_csv(audit, audit_dst)
+    before, after = Observation(), Observation()
+    joined = ["pickup_boro", "dropoff_boro", *jobs.PROFILE_REQUIRED]
+    counted = trips.observe(before, F.count(F.lit(1)).alias("n"))
+    enriched = jobs.enrich_trips(counted, zones, zprofile).observe(
+        after, F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in joined])
+    sinks.write_parquet(jobs.apply_guardrails(enriched).dropna(subset=list(jobs.PROFILE_REQUIRED)), dst)
+    if audit_dst:  # counted while writing: the joins run once
+        rows = [("rows_before", before.get["n"]), ("rows_after", after.get["n"]), *((f"unmatched_{c}", after.get[c]) for c in joined)]
+        sinks.write_report_csv(spark.createDataFrame(rows, "metric string, value bigint"), audit_dst)
 
 
 # ----------------------------------------------------------------------- P4
 def run_congestion_report(spark: SparkSession, features_dir: str, out_dir: str) -> None:
-    """Three KPI tables and the correlation row, each an aggregate over the pruned columns."""
+    """Three KPI tables and the correlation row, from one scan of the pruned columns."""
     features = readers.read_parquet(spark, features_dir).select(*jobs.REPORT_COLUMNS)
     jobs.congestion_report(features).write(out_dir)
 
@@ -94,31 +104,35 @@ def run_quality_report(
         sinks.write_report_csv(df, f"{out_dir}/{name}")
 
     if trips_src:
-        t = readers.read_parquet(spark, trips_src)
-        write(quality.table_report(t), "trip_table")
-        write(quality.null_counts_long(t), "trip_nulls")
-        write(quality.rule_counts(t, jobs.trip_rules()), "trip_rules")
-        write(quality.describe(t, quality.columns_matching(t, names=jobs.DESCRIBED_TRIP_COLUMNS)), "trip_describe")
+        t = drift.read_drifting(spark, trips_src)
+        found = inspect(t, rules=jobs.trip_rules(), described=quality.columns_matching(t, names=jobs.DESCRIBED_TRIP_COLUMNS))
+        write(found.table_report(), "trip_table")
+        write(found.nulls(), "trip_nulls")
+        write(found.broken_rules(), "trip_rules")
+        write(found.describe(), "trip_describe")
     if sensors_csv:
         s = readers.read_csv(spark, sensors_csv, readers.SENSOR_COUNTS_SCHEMA)
-        write(quality.table_report(s), "sensor_table")
-        write(quality.null_counts_long(s), "sensor_nulls")
-        write(quality.rule_counts(s, {**jobs.sensor_rules(), "malformed_volume": malformed_numeric("Vol")}), "sensor_rules")
-        write(quality.describe(jobs.parse_sensor_volumes(s), ["Vol_numeric"]), "sensor_volume")
-        write(quality.count_distinct(s, ["SegmentID"]), "distinct_segments")
-        coverage = profile.coverage(s, "SegmentID")
-        write(coverage, "segment_coverage")
-        write(kpi.bottom_n(profile.key_counts(s, "SegmentID"), "n_rows", 5, ["SegmentID"]), "lowest_coverage")
-        write(quality.frequency(s, "Boro"), "sensor_by_zone")
-        write(quality.frequency(s, "Yr", order="key"), "records_per_year")
-        write(quality.frequency(s.filter(F.col("Vol") == "0"), "HH", order="key"), "zero_volume_by_hour")
+        rules = {**jobs.sensor_rules(), "malformed_volume": malformed_numeric("Vol"), "zero_text": F.col("Vol") == "0"}
+        volume = nullify_sentinels(parse_int("Vol"))
+        found = inspect(s, ["SegmentID", "Boro", "Yr", "HH"], rules, {"Vol_numeric": volume})
+        write(found.table_report(), "sensor_table")
+        write(found.nulls(), "sensor_nulls")
+        write(found.broken_rules().drop("zero_text"), "sensor_rules")
+        write(found.describe(), "sensor_volume")
+        write(found.distinct("SegmentID"), "distinct_segments")
+        write(found.coverage("SegmentID"), "segment_coverage")
+        write(kpi.bottom_n(found.key_counts("SegmentID"), "n_rows", 5, ["SegmentID"]), "lowest_coverage")
+        write(found.frequency("Boro"), "sensor_by_zone")
+        write(found.frequency("Yr", by_count=False), "records_per_year")
+        write(found.frequency("HH", rule="zero_text", by_count=False), "zero_volume_by_hour")
     if features_src:
         f = readers.read_parquet(spark, features_src)
-        write(quality.table_report(f), "feature_table")
-        write(quality.null_counts_long(f, quality.columns_matching(f, contains=["volume"])), "feature_nulls")
-        write(quality.describe(f, quality.columns_matching(f, names=jobs.DESCRIBED_FEATURES)), "feature_describe")
-        write(quality.frequency(f, "Hour_Bin"), "feature_hour_bins")
-        write(quality.frequency(f, "Is_Weekend", order="key"), "feature_weekend")
+        found = inspect(f, ["Hour_Bin", "Is_Weekend"], described=quality.columns_matching(f, names=jobs.DESCRIBED_FEATURES))
+        write(found.table_report(), "feature_table")
+        write(found.nulls(quality.columns_matching(f, contains=["volume"])), "feature_nulls")
+        write(found.describe(), "feature_describe")
+        write(found.frequency("Hour_Bin"), "feature_hour_bins")
+        write(found.frequency("Is_Weekend", by_count=False), "feature_weekend")
 
 
 # ----------------------------------------------------------------------- P7
@@ -147,6 +161,21 @@ def run_item_vectors(
     sinks.write_once(spark, lambda: movies, meta_dst, force)
 
 
+def run_versioned_item_vectors(
+    spark: SparkSession, movies_path: str, root: str, force: bool = False, dim: int = 512, rank: int = 64, latent: bool = True
+) -> str:
+    """Item vectors and the catalogue as a version under ``root``, built again when the catalogue's files or
+    the parameters change; returns the version's folder (``vectors`` and ``catalogue``)."""
+
+    def write(folder: str) -> None:
+        movies = readers.load_movies(spark, movies_path)
+        named = text.with_item_text(movies)
+        sinks.write_vectors(text.latent_text(named, dim=dim, rank=rank) if latent else text.embed_text(named, dim=dim), f"{folder}/vectors")
+        sinks.write_parquet(movies, f"{folder}/catalogue")
+
+    return versions.build(spark, root, {"movies": movies_path}, write, {"dim": dim, "rank": rank, "latent": latent}, force)
+
+
 # ----------------------------------------------------------------------- P9
 def run_user_state(
     spark: SparkSession, ratings_path: str, vectors_dir: str, state_dir: str,
@@ -157,6 +186,25 @@ def run_user_state(
     sinks.write_state(recsys.user_state(ratings, vectors, slices), state_dir)
 
 
+def run_next_iteration(
+    spark: SparkSession, segments_dir: str, vectors_dir: str, sums_dir: str, iteration: int, new_ratings: str | None = None,
+    slices: recsys.Slices = DEFAULT_SLICES,
+) -> None:
+    """Advance the stored sums of all users by one iteration, reading only its ratings. ``new_ratings`` (``::`` text), if
+    given, are first put into the segments they belong to."""
+    if new_ratings:
+        state.write_segments(readers.load_ratings(spark, new_ratings), slices, segments_dir)
+    state.advance(spark, segments_dir, readers.read_vectors(spark, vectors_dir), sums_dir, iteration)
+
+
+def run_recommend_all(
+    spark: SparkSession, ratings_path: str, vectors_dir: str, state_dir: str, dst: str, slices: recsys.Slices = DEFAULT_SLICES
+) -> None:
+    """Top items of every user with a stored vector, partitioned by iteration."""
+    found = recsys.recommend_all(readers.read_state(spark, state_dir), readers.load_ratings(spark, ratings_path), readers.read_vectors(spark, vectors_dir), slices)
+    sinks.write_state(found, dst)
+
+
 # ---------------------------------------------------------------------- P10
 def run_recommendations(
     spark: SparkSession, ratings_path: str, vectors_dir: str, catalogue_dir: str, out_dir: str,
