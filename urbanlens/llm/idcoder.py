@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMRC"
+MAGIC = b"CMR2"
 _HEAD = struct.Struct("<4sIIIQI")
 HASH_BITS = 18
 MOST_LANES = 16_384
@@ -41,16 +41,15 @@ class Model:
         self.order2 = np.zeros(1 << HASH_BITS, np.uint32)  # id << 3 | confidence
         self.order1 = np.zeros(vocabulary, np.uint32)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.seen = np.zeros((128, 3), np.float64)
-        self.seen += (0.4, 0.2, 0.4)
+        self.seen = np.zeros((128, 3), np.int64)  # counts in units of 2^-16; integers, so that every machine decodes alike
+        self.seen += (26_214, 13_108, 26_214)
         self.order0 = np.zeros(vocabulary, np.int64)
         self.step = 0
         self._weigh()
         self._refresh()
 
     def _weigh(self) -> None:
-        share = self.seen / self.seen.sum(1, keepdims=True)
-        f = np.maximum(1, (share * 65000).astype(np.int64))
+        f = np.maximum(1, self.seen * 65_000 // self.seen.sum(1, keepdims=True))
         f[:, 2] = 65536 - f[:, 0] - f[:, 1]
         self.size = f.astype(np.uint64).ravel()
         self.start = (np.cumsum(f, axis=1) - f).astype(np.uint64).ravel()
@@ -86,7 +85,7 @@ class Model:
         for table, at, e, k, hit in ((self.order2, self.at2, self.e2, self.k2, hit2), (self.order1, self.last, self.e1, self.k1, hit1)):
             # a hit adds confidence; a miss halves it, and below 2 the id is replaced
             table[at] = np.where(hit, e + (k < 7), np.where(k > 1, e - ((k + 1) >> 1), packed))
-        self.seen += np.bincount(self.state + which, minlength=384).reshape(128, 3)
+        self.seen += np.bincount(self.state + which, minlength=384).reshape(128, 3) << 16
         if len(escaped):
             self.order0 += np.bincount(escaped, minlength=self.vocabulary)
         self.step += 1
@@ -94,7 +93,7 @@ class Model:
         if self.step < 16 or self.step % 16 == 0:
             self._refresh()
         self._weigh()
-        self.seen *= 0.98
+        self.seen -= self.seen // 50
 
 
 def _narrow(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,13 +112,14 @@ def _encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarra
     """(words per lane, words lane by lane)."""
     lanes = _lanes(len(ids))
     steps = -(-len(ids) // lanes)
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.uint32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model = Model(vocabulary, lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     words, owners = [], []
-    for x in grid:
+    for row in grid:
+        x = row.astype(np.int64)
         model.predict()
         which = np.where(model.id2 == x, 0, np.where(model.id1 == x, 1, 2))
         at = model.state + which

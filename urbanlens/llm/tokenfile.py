@@ -26,19 +26,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from urbanlens.llm.chunks import Cache, encode_rows
+from urbanlens.llm.chunks import Cache, chunk_starts, gather
 from urbanlens.llm.common import read, text_blocks
 from urbanlens.llm.idcoder import decode_block, encode_block
 from urbanlens.session import checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-BLOCK_IDS = 1 << 22
+BLOCK_IDS = 1 << 21
+CACHED = 250_000  # chunks of a cache's generation, about 50 MB
+BLOCK_BYTES = 4 << 20  # text encoded at a time: the more, the fewer chunks are looked up
 _TABLE = "part int, block int, first bigint, documents bigint, ids bigint, payload binary"
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
+
 class Encoder:
-    """The public tokenizer, asked once for each distinct chunk of text. ``plain``: literals of
+    """The public tokenizer, asked once for each distinct chunk of text. It lower-cases and drops white
+    space (checked), so chunks are looked up in lower case and without the blank they start with. ``plain``: literals of
     special tokens are text; else they are the tokens, as by the library's defaults."""
 
     def __init__(self, raw: bytes, plain: bool = True):
@@ -53,7 +60,9 @@ class Encoder:
         self.literals = sorted((x.content.encode() for x in added), key=len, reverse=True)
         self.literal = re.compile(b"|".join(map(re.escape, self.literals)))
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.cache = Cache(700_000)
+        same = ("Aa Bb", "aa bb", "aa\nbb", " Aa  bB")
+        self.folds = len({tuple(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in same}) == 1
+        self.cache = Cache(CACHED)
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in chunks], add_special_tokens=False)
@@ -66,10 +75,32 @@ class Encoder:
             return []
         return [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in self.literal.finditer(raw, a, b)]
 
+    def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a block and their offsets per row."""
+        whole = self.spans(data, offsets)
+        start = chunk_starts(data, offsets, whole)
+        if not len(start):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        row = np.searchsorted(start, offsets)  # first chunk of each row
+        if self.folds:
+            # literals are lower case themselves, and what becomes one by folding lies in several chunks
+            first = data[start]
+            blank = start[(first == 0x20) | (first == 0x0A)]
+            kept = np.ones(len(data), bool)
+            kept[blank] = False
+            data = _LOWER[data][kept]
+            start = start - np.searchsorted(blank, start)
+        bounds = pa.py_buffer(np.append(start, len(data)).astype(np.int64))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(start), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        runs = self.cache.fetch(chunks.dictionary.to_pylist(), self.encode_chunks)
+        size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        ids, ends = gather(np.cumsum(size) - size, size, np.frombuffer(b"".join(runs), "<u4"), chunks.indices.to_numpy().astype(np.int64))
+        return ids, ends[row]
+
     def rows(self, texts: pa.Array):
         """(first row, sizes, ids) of blocks of rows, without end ids."""
-        for lo, _, data, offsets in text_blocks(texts):
-            ids, ends = encode_rows(data, offsets, self.cache, self.encode_chunks, self.spans(data, offsets))
+        for lo, _, data, offsets in text_blocks(texts, BLOCK_BYTES):
+            ids, ends = self.encode_block(data, offsets)
             yield lo, np.diff(ends), ids
 
 
@@ -138,6 +169,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     before = parts.select("part", base.alias("base"))
 
     def decode(batches):
+        _LOADED.clear()  # what encoding left in this worker
         for batch in batches:
             for i in range(batch.num_rows):
                 names, sizes, ids = decode_block(batch.column("payload")[i].as_py())
