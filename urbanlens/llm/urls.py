@@ -2,16 +2,25 @@
 
 A list of (host, path) rules judges the urls it fits; those judgements are the
 labels. Each url is a set of tokens (scheme, host labels, path words, query keys,
-extension). All tokens with ``MIN_SUPPORT`` form the mining vocabulary. Spark's
-FP-growth mines the combinations that occur with a label; rules need ``MIN_SUPPORT`` and ``MIN_CONFIDENCE``, and a longer rule stays
-only if it is more confident than every shorter rule inside it. Urls that no listed rule
-fits are judged by the mined rules: rules are found through an inverted index
-from token to rule, a rule matches when all of its tokens are found, and the
-matching rules vote with confidence times support (ties and no match: allow).
+extension). All tokens with ``MIN_SUPPORT`` form the mining vocabulary. Rules need ``MIN_SUPPORT``
+and ``MIN_CONFIDENCE``, and a longer rule stays only if it is more confident than every shorter rule
+inside it. So what cannot be in such a longer rule does not enter mining:
+
+* tokens that occur in exactly the same labelled urls (the words of a shared path) are one item, any of
+  them in its place: rules hold groups of tokens, and stand for one rule per choice of a token from each;
+* items of one label alone (confidence 1) and items of all labelled urls are rules, or none, by
+  themselves: nothing longer is more confident than what it says without them or they without it.
+
+Spark's FP-growth mines the combinations of the other items with a label. Urls that no listed rule
+fits are judged by the mined rules: rules are found through an inverted index from their rarest
+item, a rule matches when a token of each of its groups is found, and the matching rules, every choice of
+tokens for itself, vote with confidence times support (ties and no match: allow).
 
 Edge cases: NULL urls and urls without ``://`` have empty host and path and get the
 method's verdict on no tokens; an empty table gives no rows; without labelled urls
-every verdict is allow; repeated rows are judged alike.
+every verdict is allow; repeated rows are judged alike. A long path that many labelled urls share
+is one item; items that occur in nearly but not quite the same urls stay apart, and their
+combinations grow with the power of their number.
 """
 
 from __future__ import annotations
@@ -95,35 +104,69 @@ def among(words: list[str], column: str) -> Column:
     return F.filter(column, lambda x: x.isin(words))
 
 
-def mine(marked: DataFrame, words: list[str]) -> DataFrame:
-    """``(rule, tokens, verdict, confidence, support)`` of the pruned association rules."""
+def merged(marked: DataFrame, words: list[str]) -> DataFrame:
+    """``(token, item, n, block)``: the item of each token, how many urls have it and how many of them are to be blocked. Tokens with
+    the same urls have the same item, named by the first of them."""
+    seen = marked.select("label", F.explode(among(words, "tokens")).alias("token"), F.array_sort("tokens").alias("whole"))
+    seen = seen.select("token", F.xxhash64("whole").alias("h"), (F.col("label") == "block").cast("long").alias("block"))
+    # sums and parities of hashes tell sets of urls apart
+    per = seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("block").alias("block"), F.sum(F.shiftrightunsigned("h", 33)).alias("a"), F.bit_xor("h").alias("b"))
+    first = per.groupBy("n", "block", "a", "b").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))  # tokens of the vocabulary
+    return materialize(first.select(F.explode("tokens").alias("token"), "item", "n", "block"))
+
+
+def mine(marked: DataFrame, words: list[str], items: DataFrame | None = None) -> DataFrame:
+    """``(rule, items, verdict, confidence, support)`` of the pruned association rules; ``items`` as from ``merged``."""
     spark = marked.sparkSession
-    schema = "rule bigint, tokens array<string>, verdict string, confidence double, support double"
+    schema = "rule bigint, items array<string>, verdict string, confidence double, support double"
     if not words:
         return spark.createDataFrame([], schema)
-    items = F.concat(among(words, "tokens"), F.array(F.concat(F.lit("="), F.col("label"))))
-    found = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(marked.select(items.alias("items")))
-    rules = (
-        found.associationRules.where("startswith(consequent[0], '=') and not exists(antecedent, x -> startswith(x, '='))")
-        .select(F.array_sort("antecedent").alias("tokens"), F.expr("substring(consequent[0], 2)").alias("verdict"), "confidence", "support")
-    )
+    items = merged(marked, words) if items is None else items
+    total = marked.count()
+    one = items.select("item", "n", "block").distinct()
+    both = one.select("item", "n", F.explode(F.array(
+        F.struct(F.lit("block").alias("verdict"), F.col("block").alias("hits")), F.struct(F.lit("allow").alias("verdict"), (F.col("n") - F.col("block")).alias("hits")),
+    )).alias("v")).select("item", "n", "v.*")
+    alone = both.select(F.array("item").alias("items"), "verdict", (F.col("hits") / F.col("n")).alias("confidence"), (F.col("hits") / total).alias("support"))
+    alone = alone.where((F.col("support") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE))
+    open_ = one.where((F.col("block") > 0) & (F.col("block") < F.col("n")) & (F.col("n") < total)).select(F.col("item").alias("word"))
+    left = sorted(r.word for r in open_.collect())  # as few as the vocabulary
+    found = alone
+    if left:
+        # of an item's tokens the first stands for all
+        entries = F.concat(among(left, "tokens"), F.array(F.concat(F.lit("="), F.col("label"))))
+        sets = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT).fit(marked.select(entries.alias("items"))).freqItemsets
+        sets = materialize(sets.select(F.array_sort(F.filter("items", lambda x: ~x.startswith("="))).alias("items"), F.get(F.filter("items", lambda x: x.startswith("=")), F.lit(0)).alias("label"), "freq"))
+        with_label = sets.where("label is not null and size(items) > 1")
+        without = sets.where("label is null").select("items", F.col("freq").alias("n"))
+        longer = with_label.join(without, "items").select("items", F.expr("substring(label, 2)").alias("verdict"), (F.col("freq") / F.col("n")).alias("confidence"), (F.col("freq") / total).alias("support"))
+        found = alone.unionByName(longer.where(F.col("confidence") >= MIN_CONFIDENCE))
     # a shorter rule at least as confident makes a longer one redundant
-    short = materialize(rules)
-    parts = short.withColumn("without", F.explode("tokens")).select("tokens", "verdict", "confidence", F.array_except("tokens", F.array("without")).alias("inner"))
-    beaten = parts.join(short.select(F.col("tokens").alias("inner"), F.col("verdict").alias("v"), F.col("confidence").alias("c")), "inner").where("verdict = v and c >= confidence").select("tokens", "verdict").distinct()
-    kept = short.join(beaten, ["tokens", "verdict"], "left_anti")
-    return kept.withColumn("rule", F.xxhash64("tokens", "verdict")).select("rule", "tokens", "verdict", "confidence", "support")
-
-
-def judge_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """``(__signature, __mined)`` for distinct token sets, by an inverted index from token to rule."""
-    index = rules.select("rule", "verdict", F.size("tokens").alias("size"), (F.col("confidence") * F.col("support")).alias("weight"), F.explode("tokens").alias("token"))
-    matched = (
-        sets.select("__signature", F.explode("__signature").alias("token")).join(index, "token")
-        .groupBy("__signature", "rule").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("verdict").alias("verdict"), F.first("weight").alias("weight"))
-        .where("n = size")
+    rules = materialize(found)
+    inner = rules.select(F.col("items").alias("inner"), F.col("verdict").alias("v"), F.col("confidence").alias("c"), F.col("items")[0].alias("word"))
+    beaten = (
+        rules.where("size(items) > 1").select("items", "verdict", "confidence", F.explode("items").alias("word")).join(inner, "word")
+        .where("verdict = v and c >= confidence and size(inner) < size(items) and size(array_except(inner, items)) = 0").select("items", "verdict").distinct()
+    )
+    kept = rules.join(beaten, ["items", "verdict"], "left_anti")
+    return kept.withColumn("rule", F.xxhash64("items", "verdict")).select("rule", "items", "verdict", "confidence", "support")
+
+
+def judge_sets(sets: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
+    """``(__signature, __mined)`` for distinct token sets, by an inverted index from a rule's rarest item."""
+    rarity = items.select("item", "n").distinct()
+    rarest = rules.select("rule", F.explode("items").alias("item")).join(rarity, "item").groupBy("rule").agg(F.min(F.struct("n", "item"))["item"].alias("item"))
+    index = rules.join(rarest, "rule").select("item", "items", "verdict", (F.col("confidence") * F.col("support")).alias("weight"))
+    # how many tokens of each item a set has
+    has = (
+        sets.select("__signature", F.explode("__signature").alias("token")).join(items.select("token", "item"), "token")
+        .groupBy("__signature", "item").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("__signature").agg(F.map_from_entries(F.collect_list(F.struct("item", "n"))).alias("has"))
     )
-    vote = F.round(F.sum(F.when(F.col("verdict") == "block", F.col("weight")).otherwise(-F.col("weight"))), 9)
+    met = has.select("__signature", "has", F.explode(F.map_keys("has")).alias("item")).join(index, "item")
+    choices = F.aggregate("items", F.lit(1).cast("double"), lambda s, x: s * F.coalesce(F.try_element_at(F.col("has"), x), F.lit(0)))
+    matched = met.withColumn("w", choices * F.col("weight")).where("w > 0")
+    vote = F.round(F.sum(F.when(F.col("verdict") == "block", F.col("w")).otherwise(-F.col("w"))), 9)
     return matched.groupBy("__signature").agg(F.when(vote > 0, "block").otherwise("allow").alias("__mined"))
 
 
@@ -137,7 +180,8 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     words = vocabulary(train)
     signed = marked.withColumn("__signature", F.array_sort(among(words, "__tokens")))
     sets = signed.where("__listed is null").select("__signature").distinct()
-    mined = judge_sets(sets, mine(train, words))
+    items = merged(train, words)
+    mined = judge_sets(sets, mine(train, words, items), items)
     return (
         signed.join(mined, "__signature", "left")
         .withColumn("verdict", F.coalesce("__listed", "__mined", F.lit("allow")))
