@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from urbanlens.llm.common import bloom_words, in_bloom, materialize, mix64, read, text_blocks
-from urbanlens.llm.components import connected_components
 from urbanlens.llm.words import powers
 
 SHINGLE = 3
@@ -48,6 +47,7 @@ BLOOM_BITS = 24
 BLOCK_SETS = 2048
 BLOCK_BYTES = 16 << 20
 FAN = 16
+EDGES = 1 << 17  # links a task writes while components are found
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -307,97 +307,127 @@ def families(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     rows = materialize(docs.select("doc_id", marked(text).alias("m")).select("doc_id", "m.*"))
     held = rows.groupBy("sid").agg(F.first("keys").alias("keys")).select("sid", F.explode("keys").alias("key"))
     edges = held.join(repeated, "key").where("sid <> hub").select(F.col("hub").alias("src"), F.col("sid").alias("dst"))
-    roots = connected_components(edges)
-    return rows.select("doc_id", "n", "sid"), materialize(roots.select(F.col("node").alias("sid"), "root"))
+    roots = connected(edges)
+    return rows.select("doc_id", "n", "sid"), roots.select(F.col("node").alias("sid"), "root")
 
 
-def _own_links(percent: int):
-    def solve(ids: list[int], raw: list[bytes], src: list[int], dst: list[int]) -> None:
+def _own_classes(percent: int):
+    def solve(ids: list[int], raw: list[bytes]) -> pa.RecordBatch:
+        """Each set of a block with the smallest name of those it is connected with."""
         sets = [np.frombuffer(x, "<u8") for x in raw]
         tree = Tree(np.array(ids, np.int64), sets, bitmap_bits(sets))
-        x, y = join_trees(tree, tree, np.arange(len(ids)), percent)
-        src += x
-        dst += y
+        label = np.arange(len(ids))
+        join_trees(tree, tree, label, percent)
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, tree.ids)
+        return pa.RecordBatch.from_arrays([pa.array(tree.ids), pa.array(least[label])], ["sid", "comp"])
 
     def run(batches):
         """Blocks come one after the other, whole."""
-        key, ids, raw, src, dst = None, [], [], [], []
+        key, ids, raw, done, n = None, [], [], [], 0
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("root", "block", "sid", "shingles")]
             for root, block, sid, shingles in zip(*columns, strict=True):
                 if (root, block) != key:
-                    solve(ids, raw, src, dst)
+                    if ids:
+                        done.append(solve(ids, raw))
+                        n += len(ids)
                     key, ids, raw = (root, block), [], []
                 ids.append(sid), raw.append(shingles)
-            if len(src) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
-                src, dst = [], []
-        solve(ids, raw, src, dst)
-        yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
+            if n > 10_000:
+                yield from done
+                done, n = [], 0
+        yield from done
+        if ids:
+            yield solve(ids, raw)
 
     return run
 
 
 def _links(percent: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Two blocks, whose components are known so far."""
+        """Links between the components, known so far, of two blocks."""
         sides = [x.combine_chunks() for x in (left, right)]
         src, dst = [], []
         if left.num_rows and right.num_rows:
             sets = [[np.frombuffer(x, "<u8") for x in t.column("shingles").to_pylist()] for t in sides]
             bits = bitmap_bits([x for s in sets for x in s])
             trees = [Tree(t.column("sid").to_numpy(), s, bits) for t, s in zip(sides, sets, strict=True)]
-            label = []
-            for t, tree in zip(sides, trees, strict=True):
-                known = dict(zip(t.column("sid").to_pylist(), t.column("comp").to_pylist(), strict=True))
-                label += [known[i] for i in tree.ids.tolist()]
-            src, dst = join_trees(trees[0], trees[1], np.unique(np.array(label), return_inverse=True)[1], percent)
+            known = [dict(zip(t.column("sid").to_pylist(), t.column("comp").to_pylist(), strict=True)) for t in sides]
+            label = [known[k][i] for k, tree in enumerate(trees) for i in tree.ids.tolist()]
+            a, b = join_trees(trees[0], trees[1], np.unique(np.array(label), return_inverse=True)[1], percent)
+            src, dst = [known[0][i] for i in a], [known[1][i] for i in b]
         return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
     return run
 
 
-def links(sets: DataFrame, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """``(src, dst)`` links between the sets in ``sets(sid, root, shingles)`` that connect what all links
-    within each ``root`` connect; ``shingles`` are packed ascending 64-bit hashes."""
+def connected(edges: DataFrame) -> DataFrame:
+    """``(node, root)`` of the nodes of ``edges(src, dst)``: every node hooks to its smallest neighbour, edges are
+    renamed by the hooks' hooks, until none is left. Tables shrink fast, and so do the tasks that write them."""
+    spark = edges.sparkSession
+
+    def tidy(e: DataFrame) -> DataFrame:
+        return e.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+
+    left = materialize(tidy(edges))
+    hooks = []
+    while n := left.count():
+        tasks = ceil(n / EDGES)
+        both = left.select(F.col("src").alias("node"), F.col("dst").alias("other")).unionByName(left.select(F.col("dst").alias("node"), F.col("src").alias("other")))
+        once = both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("via"))
+        twice = once.select(F.col("node").alias("via"), F.col("via").alias("root"))
+        hook = materialize(once.join(twice, "via").select("node", "root").coalesce(tasks))
+        hooks.append(hook)
+        to_src, to_dst = (hook.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("src", "dst"))
+        moved = left.join(to_src, "src").join(to_dst, "dst").select(F.col("src_root").alias("src"), F.col("dst_root").alias("dst"))
+        left = materialize(tidy(moved).coalesce(tasks))
+    if not hooks:
+        return spark.createDataFrame([], "node bigint, root bigint")
+    labels = hooks[0]
+    for hook in hooks[1:]:
+        labels = labels.withColumnRenamed("root", "via").join(hook.select(F.col("node").alias("via"), "root"), "via", "left").select("node", F.coalesce("root", "via").alias("root"))
+    return materialize(labels)
+
+
+def classes(sets: DataFrame, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """``(sid, comp)``: the sets in ``sets(sid, root, shingles)`` with the name of the component that links
+    within each ``root`` make; ``shingles`` are packed ascending 64-bit hashes."""
     size = F.sum(F.length("shingles") + 64)
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block_sets, size / BLOCK_BYTES)).cast("int")
     counts = sets.groupBy("root").agg(blocks.alias("blocks"))
     dealt = materialize(sets.join(counts, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")))
-    schema = "src bigint, dst bigint"
+    alone = dealt.select("root", "block", "sid", "shingles").repartition("root", "block").sortWithinPartitions("root", "block")
+    found = materialize(alone.mapInArrow(_own_classes(percent), "sid bigint, comp bigint"))
+    wide = dealt.where("blocks > 1")
+    if not wide.limit(1).count():
+        return found
     own = ["sid", "comp", "shingles"]
 
     def pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         # names anew: both sides come from one table
         sides = [df.select(*keys, *own).toDF(*keys, *own).groupBy(*keys) for df in (left, right)]
-        return sides[0].cogroup(sides[1]).applyInArrow(_links(percent), schema)
-
-    alone = dealt.select("root", "block", "sid", "shingles").repartition("root", "block").sortWithinPartitions("root", "block")
-    found = materialize(alone.mapInArrow(_own_links(percent), schema))
-    wide = dealt.where("blocks > 1")
-    if not wide.limit(1).count():
-        return found
+        return connected(sides[0].cogroup(sides[1]).applyInArrow(_links(percent), "src bigint, dst bigint"))
 
-    def labelled(edges: DataFrame) -> DataFrame:
-        comps = connected_components(edges).select(F.col("node").alias("sid"), F.col("root").alias("c"))
-        return materialize(wide.join(comps, "sid", "left").withColumn("comp", F.coalesce("c", "sid")).drop("c"))
+    def renamed(df: DataFrame, roots: DataFrame) -> DataFrame:
+        named = roots.select(F.col("node").alias("comp"), F.col("root").alias("top"))
+        return df.join(named, "comp", "left").withColumn("comp", F.coalesce("top", "comp")).drop("top")
 
-    others = F.expr("sequence(1, blocks - 1)")
-    now = labelled(found)
-    first = now.where("block = 0").withColumn("block", F.explode(others))
-    found = materialize(found.unionByName(pairs(now.where("block > 0"), first, ["root", "block"])))
-    now = labelled(found)
+    now = materialize(wide.join(found, "sid"))
+    first = now.where("block = 0").withColumn("block", F.explode(F.expr("sequence(1, blocks - 1)")))
+    roots = pairs(now.where("block > 0"), first, ["root", "block"])
+    now, found = materialize(renamed(now, roots)), renamed(found, roots)
     # what is outside a family's largest component meets every block once
     sizes = now.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("root").agg(F.max(F.struct("n", F.col("comp")))["comp"].alias("main"))
     outside = now.join(largest, "root").where("comp <> main").drop("main")
     if outside.limit(1).count():
-        # sets outside are few when copies of one text make a family; they are dealt into blocks of their own
+        # these sets are few when copies of one text make a family; they are dealt into blocks of their own
         many = outside.groupBy("root").agg(blocks.alias("parts"))
         left = outside.join(many, "root").withColumn("part", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("parts")).cast("int"))
         left = left.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
         right = now.join(many, "root").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-        found = found.unionByName(pairs(left, right, ["root", "block", "part"]))
+        found = renamed(found, pairs(left, right, ["root", "block", "part"]))
     return found
 
 
@@ -431,7 +461,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
 
     sets = docs.where(picked(F.xxhash64(F.xxhash64("doc_id")))).select(packed(text).alias("s")).select("s.*")
     sets = sets.join(roots, "sid").groupBy("sid").agg(F.first("root").alias("root"), F.first("shingles").alias("shingles"))
-    found = connected_components(links(sets, percent, block_sets)).select(F.col("node").alias("sid"), F.col("root").alias("link"))
+    found = classes(sets, percent, block_sets).withColumnRenamed("comp", "link")
     least = rows.groupBy("sid").agg(F.min("doc_id").alias("least"))
     rooted = least.join(found, "sid", "left").withColumn("link", F.coalesce("link", "sid"))
     ids = rooted.groupBy("link").agg(F.min("least").alias("component_id"))
