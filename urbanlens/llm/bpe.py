@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 Every pre-token is a linked list of byte runs. Each merge rank has a bucket of list
-positions whose pair has that rank; three levels of 64-way bitmaps mark the
-buckets in use, and find-first-set down the levels gives the smallest rank.
+positions whose pair has that rank (a heap, as the leftmost comes first); two levels of 256-bit
+bitmaps mark the buckets in use, and find-first-set down the levels gives the smallest rank.
 Entries whose pair has changed since are skipped when they surface. A pre-token of n bytes
-takes O(n) queue steps whatever its length, and no scan over its pairs.
+takes O(n) queue steps of O(log n) each whatever its length, and no scan over its pairs.
 
 Edge cases: NULL and empty text encode to no ids; repeated rows encode alike;
 other columns pass through. Ids are packed little-endian 32-bit integers.
