@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.functions.vectors import dot
+from urbanlens.functions.vectors import cosine, dot
 from urbanlens.operators import factors, recsys, state, text, topk
 from urbanlens.plans.catalog import _SAMPLED, _TASTE, Inputs, _rec_sql, register
 from urbanlens.session import checkpoint_dir
@@ -47,6 +47,15 @@ def _recommend_all(i: Inputs) -> DataFrame:
     return recsys.recommend_all(users, i.ratings, i.vectors, i.slices).withColumn("sim", F.round("sim", 6))
 
 
+# ---- cosine of two vectors (I3) -----------------------------------------------------------
+@register("cosine_of_neighbours", with_views("""
+SELECT a.item_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS sim
+FROM vectors a JOIN vectors b ON b.item_id = a.item_id + 1""", "vectors"))
+def _neighbours(i: Inputs) -> DataFrame:
+    after = i.vectors.select((F.col("item_id") - 1).alias("item_id"), F.col("embedding").alias("next"))
+    return i.vectors.join(after, "item_id").select("item_id", F.round(cosine("embedding", "next"), 6).alias("sim"))
+
+
 # ---- latent factors (I1) ---------------------------------------------------------------
 _DIM = 64
 _CELLS = [f"""tok AS (

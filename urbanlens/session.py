@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,12 +50,41 @@ def build_session(
     return spark
 
 
+def package_archive() -> tuple[str, bytes]:
+    """Name and content of a zip of this package; the name tells the content."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                with open(path, "rb") as f:
+                    z.writestr(zipfile.ZipInfo(os.path.relpath(path, os.path.dirname(root))), f.read())
+    return f"urbanlens-{hashlib.sha256(out.getvalue()).hexdigest()[:16]}.zip", out.getvalue()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package: from where the driver has it, and on a cluster from an
+    archive in the shared checkpoint folder, which executors fetch like any dependency."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    sc = spark.sparkContext
+    paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if sc.master.startswith("local[") or sc.master == "local" or not spark.conf.get("spark.checkpoint.dir", None):
+        return
+    name, content = package_archive()
+    if any(os.path.basename(x) == name for x in sc._python_includes):
+        return
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path
+    target, part = f"{checkpoint_dir(spark)}/{name}", f"{checkpoint_dir(spark)}/{name}.{uuid.uuid4().hex}"
+    fs = hadoop(target).getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop(target)):
+        stream = fs.create(hadoop(part), False)
+        stream.write(bytearray(content))
+        stream.close()
+        fs.rename(hadoop(part), hadoop(target))
+    sc.addPyFile(target)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
