@@ -45,9 +45,22 @@ def test_stored_parts_take_new_ones_without_old_data(spark, scratch):
         assert all(abs(r.distinct_estimate - exactly) <= math.ceil(exactly * sketches.DISTINCT_ERROR) for r in (a, b))
 
 
+def test_frequent_values_within_bounds(spark):
+    # 30,000 values of one row each, and some that make up a few per cent
+    heavy = [("a", 3000), ("b", 2000), ("c", 1200)]
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("v"), (F.col("id") % 5).alias("p"))
+    for v, n in heavy:
+        df = df.unionByName(spark.range(n).select(F.lit(v).alias("v"), (F.col("id") % 5).alias("p")))
+    total = 36_200
+    found = sketches.report(sketches.merge(sketches.sketch(df, ["v"], by=["p"]))).first().frequent
+    assert [f.item for f in found[:3]] == ["a", "b", "c"]
+    for f, (_, n) in zip(found, heavy, strict=False):
+        assert abs(f["count"] - n) <= sketches.FREQUENT_ERROR * total * 2  # the sketches of parts, then the merged one
+
+
 def test_empty_table(spark):
     got = sketches.report(sketches.sketch(table(spark).where("false"), ["x", "name"], numeric=["x"])).collect()
-    assert all(r.n_rows == 0 and r.distinct_estimate == 0 and r.quantiles is None for r in got)
+    assert all(r.n_rows == 0 and r.distinct_estimate == 0 and r.quantiles is None and r.frequent == [] for r in got)
 
 
 def scans(df):

@@ -2,12 +2,13 @@
 
 ``sketch`` makes one row per part of a table (a month, a file, a load) in a single
 aggregate: exact counts and moments, a HyperLogLog sketch of distinct values, a KLL
-sketch of quantiles and exact counts of values that are frequent. Rows of parts are a few
+sketch of quantiles and a frequent-items sketch. Rows of parts are a few dozen
 kilobytes, whatever the part's size; they can be stored and ``merge``d with those of new parts
 without reading the old data. ``report`` turns them into figures with their error bounds.
 
 Bounds: distinct counts within ``DISTINCT_ERROR`` (about three standard errors of
-2^``LOG_K`` registers), ranks of quantiles within ``RANK_ERROR``.
+2^``LOG_K`` registers), ranks of quantiles within ``RANK_ERROR``, counts of frequent values within
+``FREQUENT_ERROR`` of the rows; the last are exact while a column has fewer than three quarters of ``TRACKED`` values.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ LOG_K = 14
 KLL_K = 800
 DISTINCT_ERROR = 0.025
 RANK_ERROR = 0.01
+TRACKED = 1024
+FREQUENT_ERROR = 3.5 / TRACKED
+FREQUENT = 10
 QUANTILES = (0.25, 0.5, 0.75)
 
 
@@ -29,12 +33,13 @@ def _q(name: str) -> Column:
 
 
 def sketch(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
-    """One row per part ``by``: ``n_rows`` and for each column ``c`` the fields ``c__nulls, c__distinct`` and, if it is
+    """One row per part ``by``: ``n_rows`` and for each column ``c`` the fields ``c__nulls, c__distinct, c__frequent`` and, if it is
     numeric, ``c__low, c__high, c__n, c__mean, c__square`` (sum of squared deviations) ``, c__kll``."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in columns:
         # text and numbers alike: the sketch takes the text of a value
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.hll_sketch_agg(F.col(c).cast("string"), LOG_K).alias(f"{c}__distinct")]
+        aggs.append(F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(f"{c}__frequent"))
         if c in numeric:
             x = F.col(c).cast("double")
             aggs += [
@@ -51,6 +56,7 @@ def merge(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     aggs = [F.sum("n_rows").alias("n_rows")]
     for c in columns:
         aggs += [F.sum(_q(f"{c}__nulls")).alias(f"{c}__nulls"), F.hll_union_agg(_q(f"{c}__distinct")).alias(f"{c}__distinct")]
+        aggs.append(F.expr(f"approx_top_k_combine(`{c}__frequent`, {TRACKED})").alias(f"{c}__frequent"))
         if f"{c}__kll" in names:
             n, mean = _q(f"{c}__n"), _q(f"{c}__mean")
             total, weighted = F.sum(n), F.sum(n * mean)
@@ -63,9 +69,10 @@ def merge(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return parts.groupBy(*by).agg(*aggs) if by else parts.agg(*aggs)
 
 
-def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES, frequent: int = FREQUENT) -> DataFrame:
     """A row per column: ``column_name, n_rows, nulls, least, most, mean, stddev, distinct_estimate, quantiles``
-    (array of estimates for ``quantiles``); the numeric figures are NULL for other columns."""
+    (array of estimates for ``quantiles``) and ``frequent`` (array of the values found most often, as text, and their
+    counts); the numeric figures are NULL for other columns."""
     names = merged.columns
     columns = list(dict.fromkeys(c.rsplit("__", 1)[0] for c in names if "__" in c))
     rows = []
@@ -78,6 +85,7 @@ def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFra
         some = F.array(*[F.lit(float(x)) for x in quantiles])
         estimates = F.when(_q(f"{c}__n") > 0, F.kll_sketch_get_quantile_double(_q(f"{c}__kll"), some)) if number else F.lit(None).cast("array<double>")
         fields += [deviation.alias("stddev"), F.hll_sketch_estimate(_q(f"{c}__distinct")).alias("distinct_estimate"), estimates.alias("quantiles")]
+        fields.append(F.expr(f"slice(filter(approx_top_k_estimate(`{c}__frequent`, {frequent + 1}), x -> x.item is not null), 1, {frequent})").alias("frequent"))
         rows.append(F.struct(*fields))
     return merged.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 

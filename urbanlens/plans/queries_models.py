@@ -104,3 +104,15 @@ def _sketch_report(i: Inputs) -> DataFrame:
     """The sketches of the trips of each payment type, merged, with checks of the estimates against exact figures."""
     parts = sketches.sketch(i.trips, _SKETCHED, numeric=_NUMBERS, by=["payment_type"])
     return sketches.checked(i.trips, sketches.report(sketches.merge(parts)), numeric=_NUMBERS)
+
+
+_COUNTED = ("payment_type", "PULocationID", "RatecodeID")
+
+
+@register("frequent_values_by_sketch", with_views("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS item, CAST(count(*) AS BIGINT) AS n_rows FROM trips WHERE {c} IS NOT NULL GROUP BY {c}" for c in _COUNTED), "trips"))
+def _frequent(i: Inputs) -> DataFrame:
+    """Sketches per weekday of pickup, merged: exact, as these columns have few values."""
+    parts = sketches.sketch(i.trips.withColumn("day", F.weekday("tpep_pickup_datetime")), _COUNTED, by=["day"])
+    found = sketches.report(sketches.merge(parts), frequent=100)
+    return found.select("column_name", F.explode("frequent").alias("f")).select("column_name", "f.item", F.col("f.count").alias("n_rows"))
