@@ -48,3 +48,38 @@ def test_edge_rows(spark):
     none = langid.fit(docs.where("false"))
     assert {r.lang_pred for r in langid.predict(docs, none).collect()} == {"und"}
     assert langid.predict(docs.where("false"), model).count() == 0
+
+
+def plain_grams(text):
+    """Byte 4-grams of the folded text without two blanks in succession."""
+    b = bytes(langid._FOLD[np.frombuffer(text.encode(), np.uint8)].astype(np.uint8).tolist()) if text else b""
+    return [b[i : i + 4] for i in range(len(b) - 3) if b"  " not in b[i : i + 4]]
+
+
+def test_correction_and_prediction_equal_brute_force(spark):
+    from collections import Counter
+
+    texts = {"aa": "banana cabana tamada salama kavala " * 30, "bb": "skrit frimp glunk trisk flomb " * 30, "cc": "banana skrit olo mundo cabo " * 30}
+    bits = 9  # few slots: false hits are common, so the correction matters
+    model = langid.fit(spark.createDataFrame(list(texts.items()), "lang string, text string"), slot_bits=bits)
+    kept = {}
+    for lang, text in texts.items():
+        counts = Counter(plain_grams(text))
+        kept[lang] = {g for g, n in counts.items() if n >= langid.MIN_SHARE * sum(counts.values())}
+    slots = lambda g: [int(x[0]) for x in langid.slots_of(np.array([int.from_bytes(g, "little")], np.uint32), bits)]
+    filled = {lang: {s for g in grams for s in slots(g)} for lang, grams in kept.items()}
+    rate = {lang: min((len(f) / 2**bits) ** langid.HASHES, 0.999) for lang, f in filled.items()}
+    assert model.langs == sorted(texts) and np.allclose(model.false_rate, [rate[x] for x in model.langs])
+    asked = ["banana cabana", "skrit glunk mundo", "olo olo cabo", "zzzz qqqq wwww", "tamada frimp banana trisk", "xy"]
+    got = {r.text: r for r in langid.predict(frame(spark, list(enumerate(asked))), model).collect()}
+    most = max(model.langs, key=lambda x: len(plain_grams(texts[x])))
+    for text in asked:
+        grams = plain_grams(text)
+        sure = {}
+        for lang in model.langs:
+            found = sum(all(s in filled[lang] for s in slots(g)) for g in grams)
+            sure[lang] = max(0.0, (found - len(grams) * rate[lang]) / (1 - rate[lang]))
+        total = sum(sure.values())
+        want = max(model.langs, key=lambda x: sure[x]) if total > 0 else most
+        assert got[text].lang_pred == want
+        assert abs(got[text].score - (sure[want] / total if total > 0 else 0.0)) < 1e-9

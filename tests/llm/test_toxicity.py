@@ -48,3 +48,78 @@ def test_edges(spark):
     none = toxicity.fit(toxicity.training_rows(docs, marks.where("false")))
     assert all(r.score < 0.01 for r in toxicity.score(docs, none).collect())
     assert toxicity.score(docs.where("false"), model).count() == 0
+
+
+def grams(word):
+    text = f" {word} "
+    return {text[i : i + n] for n in toxicity.SIZES for i in range(len(text) - n + 1)}
+
+
+def number(gram_word):
+    """The feature numbers of a word, by the operator's own hash, per n-gram."""
+    import pyarrow as pa
+
+    from urbanlens.llm.common import text_blocks
+
+    _, _, data, offsets = next(text_blocks(pa.array([gram_word])))
+    return toxicity.Vocabulary(data, offsets)
+
+
+def test_ratios_selection_and_scores_equal_brute_force(spark):
+    import math
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(12)
+    mild, foul = [f"{a}{b}en" for a in "bdfg" for b in "aeio"], [f"z{a}x{b}" for a in "aeu" for b in "gkr"]
+    texts = [(int(i % 3 == 0), " ".join(rnd.choice(mild + (foul if i % 3 == 0 else mild[:2])) for _ in range(rnd.randrange(1, 12)))) for i in range(240)]
+    # plain counts of the documents of each class that have an n-gram
+    has = [(t, set().union(*(grams(w) for w in set(text.split())))) for t, text in texts]
+    n = [sum(t == c for t, _ in has) for c in (0, 1)]
+    count = {g: [sum(g in s for t, s in has if t == c) for c in (0, 1)] for g in set().union(*(s for _, s in has))}
+    total = [sum(v[c] + 1 for v in count.values()) for c in (0, 1)]
+    want = {}
+    for g, (q, p) in count.items():
+        mean = (p + q) / sum(n)
+        z = (p / n[1] - q / n[0]) / math.sqrt(max(mean * (1 - mean), 1e-12) * (1 / n[0] + 1 / n[1]))
+        if abs(z) >= toxicity.LEAST_Z:
+            want[g] = math.log((p + 1) / total[1]) - math.log((q + 1) / total[0])
+    order = sorted(count)
+    r, telling = toxicity.ratios(np.array([count[g][0] for g in order]), np.array([count[g][1] for g in order]), *map(float, n))
+    assert {g for g, x in zip(order, telling, strict=True) if x} == set(want)
+    assert all(abs(x - want[g]) < 1e-12 for g, x, use in zip(order, r, telling, strict=True) if use)
+    # the fitted model weighs exactly the chosen n-grams
+    rows = spark.createDataFrame(texts, "toxic int, text string")
+    model = toxicity.fit(rows)
+    numbers = {}
+    for w in {w for _, text in texts for w in text.split()}:
+        v, text = number(w), f" {w} "
+        found, at = sorted(v.feature.tolist()), []
+        for size in toxicity.SIZES:
+            at += [text[i : i + size] for i in range(len(text) - size + 1)]
+        assert len(found) == len(at)
+        for size in toxicity.SIZES:  # features come size by size, in order of place
+            mine = [text[i : i + size] for i in range(len(text) - size + 1)]
+            numbers |= dict(zip(mine, v.feature[: len(mine)].tolist(), strict=True))
+            v.feature = v.feature[len(mine) :]
+    assert len(set(numbers.values())) == len(numbers) == len(count)
+    weighed = {g for g in count if model.weights[numbers[g]] != 0}
+    assert weighed <= set(want) and len(weighed) > 0.5 * len(want)
+    # scores: the logistic of the intercept and the weights of all n-grams of each distinct word
+    got = toxicity.score(rows, model).collect()
+    for row in got:
+        line = model.intercept
+        for w in set(row.text.split()):
+            text = f" {w} "
+            line += sum(model.weights[numbers[text[i : i + k]]] for k in toxicity.SIZES for i in range(len(text) - k + 1))
+        assert abs(row.score - 1 / (1 + math.exp(-line))) < 1e-9
+    assert np.mean([(r.score >= 0.3) == bool(r.toxic) for r in got]) > 0.9
+
+
+def test_no_feature_that_tells_is_dropped():
+    import numpy as np
+
+    # 30,000 features, all of them telling
+    clean, toxic = np.zeros(30_000, np.int64), np.full(30_000, 400)
+    assert toxicity.ratios(clean, toxic, 1000.0, 1000.0)[1].all()

@@ -4,8 +4,8 @@ log-count ratios.
 Features are the byte n-grams (``SIZES``) of lower-cased words with their edges,
 hashed to ``2**BITS`` numbers; a document counts in how many of its distinct
 words a feature occurs. Document frequencies per class give the log-count ratio r
-of each feature; the features whose class frequencies differ by ``LEAST_Z``
-standard errors (``MOST_FEATURES`` at most, by that z) enter a logistic
+of each feature; all features whose class frequencies differ by ``LEAST_Z``
+standard errors enter a logistic
 regression on count * r. A text's score is the regression's probability.
 
 The fit uses at most ``sample_rows`` labelled rows (the smallest hashes of doc_id):
@@ -34,7 +34,6 @@ from urbanlens.llm.words import Words, powers
 SIZES = (3, 4, 5)
 BITS = 20
 LEAST_Z = 4.0
-MOST_FEATURES = 8192
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
 
@@ -123,6 +122,15 @@ class Model:
         self.weights, self.intercept = weights, intercept
 
 
+def ratios(clean: np.ndarray, toxic: np.ndarray, n_clean: float, n_toxic: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log-count ratio of each feature over add-one smoothed counts, and whether its
+    frequencies in the classes differ by ``LEAST_Z`` standard errors."""
+    mean = (toxic + clean) / (n_clean + n_toxic)
+    z = (toxic / n_toxic - clean / n_clean) / np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / n_clean + 1 / n_toxic))
+    ratio = np.log((toxic + 1) / (toxic + 1).sum()) - np.log((clean + 1) / (clean + 1).sum())
+    return ratio, np.abs(z) >= LEAST_Z
+
+
 def fit(rows: DataFrame) -> Model:
     """Fit on (toxic, text)."""
     spark = rows.sparkSession
@@ -139,16 +147,11 @@ def fit(rows: DataFrame) -> Model:
         return Model(weights, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     n0, n1 = float(found.clean.iloc[0]), float(found.toxic.iloc[0])
     feature, q, p = (found[c].to_numpy(np.int64)[1:] for c in ("feature", "clean", "toxic"))
-    mean = (p + q) / (n0 + n1)
-    z = (p / n1 - q / n0) / np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / n0 + 1 / n1))
-    # log-count ratios over add-one smoothed counts
-    ratio = np.log((p + 1) / (p + 1).sum()) - np.log((q + 1) / (q + 1).sum())
-    order = np.lexsort((feature, -np.abs(z)))
-    best = order[np.abs(z[order]) >= LEAST_Z][:MOST_FEATURES]
-    chosen, r = feature[best], ratio[best]
+    ratio, telling = ratios(q, p, n0, n1)
+    chosen, r = feature[telling], ratio[telling]
     place = np.full(1 << BITS, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
-    shared = spark.sparkContext.broadcast((place, r))  # bounded by BITS and MOST_FEATURES
+    shared = spark.sparkContext.broadcast((place, r))  # bounded by BITS
 
     def vectors(batches):
         place, r = shared.value
