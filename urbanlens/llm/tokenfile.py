@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 import uuid
 
 import numpy as np
@@ -41,6 +42,26 @@ _TABLE = "part int, block int, first bigint, documents bigint, ids bigint, paylo
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
+# Byte-level vocabularies write printable bytes as themselves and the others, in order, as the characters from U+0100 on.
+_PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+_SHOWN = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
+
+
+class _Runs(Cache):
+    """The cache with one look-up for what is young, as most is."""
+
+    def fetch(self, names: list[bytes], make) -> list[bytes]:
+        young, old = self.young, self.old
+        out = list(map(young.get, names))
+        missing = [i for i, run in enumerate(out) if run is None]
+        new = [names[i] for i in missing if names[i] not in old]
+        made = dict(zip(new, make(new), strict=True)) if new else {}
+        for i in missing:
+            x = names[i]
+            out[i] = young[x] = made[x] if x in made else old[x]
+        if len(young) > self.generation:
+            self.young, self.old = {}, young
+        return out
 
 
 class Encoder:
@@ -62,11 +83,29 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         same = ("Aa Bb", "aa bb", "aa\nbb", " Aa  bB")
         self.folds = len({tuple(self.tokenizer.encode(x, add_special_tokens=False).ids) for x in same}) == 1
-        self.cache = Cache(CACHED)
+        self.cache = _Runs(CACHED)
+        tried = ["word", "straße", "garçon", "łódź", "ſo", "naïveté"]
+        self.model = self.tokenizer.model
+        self.direct = self.folds and all(self._letters(x) == self.tokenizer.encode(x, add_special_tokens=False).ids for x in tried)
+
+    def _letters(self, word: str) -> list[int]:
+        """Ids of a word of lower-case letters below U+0180, which no step before the merges changes or splits."""
+        return [x.id for x in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN))]
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in chunks], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        texts = [x.decode("utf-8") for x in chunks]
+        out: list = [None] * len(texts)
+        rest = []
+        for i, x in enumerate(texts):
+            if self.direct and x.isalpha() and (x.isascii() or max(x) < "\u0180") and x == x.lower():
+                ids = self._letters(x)
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(i)
+        found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+        for i, x in zip(rest, found, strict=True):
+            out[i] = struct.pack(f"<{len(x.ids)}I", *x.ids)
+        return out
 
     def spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
         """Where the rows hold literals."""
