@@ -44,7 +44,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_listed(spark):
     rows_only = set(catalog.QUERIES) - set(catalog.ORACLE_SQL)
-    assert rows_only == MODEL_QUERIES
+    assert rows_only == MODEL_QUERIES | {"latent_item_vectors"}  # checked against NumPy
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
