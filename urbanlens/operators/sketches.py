@@ -93,18 +93,17 @@ def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES, frequent:
 def checked(df: DataFrame, estimates: DataFrame, numeric: Sequence[str] = (), quantiles: Sequence[float] = QUANTILES, digits: int = 6) -> DataFrame:
     """The report beside exact figures: ``n_distinct`` is exact, ``distinct_in_bounds`` and ``quantiles_in_bounds`` say
     whether the estimates keep to their bounds (the ranks of the estimated quantiles are counted)."""
-    wanted = estimates.select("column_name", "quantiles").where("quantiles is not null").groupBy().pivot("column_name", list(numeric)).agg(F.first("quantiles"))
-    columns = [r.column_name for r in estimates.select("column_name").collect()]  # a row per column
+    found = {r.column_name: r.quantiles for r in estimates.select("column_name", "quantiles").collect()}  # a row per column
+    columns = list(found)
     aggs = []
-    with_estimates = df.crossJoin(F.broadcast(wanted.toDF(*[f"__{c}" for c in wanted.columns]))) if numeric else df  # one row
     for c in columns:
         fields = [F.lit(c).alias("column_name"), F.count_distinct(F.col(c)).alias("n_distinct")]
-        if c in numeric:
+        if c in numeric and found[c]:
             x = F.col(c).cast("double")
             off = [
                 # the estimate's ranks, from the first to the last of equal values, reach the wanted one within the bound
-                (F.avg((x < F.get(F.col(f"__{c}"), F.lit(i))).cast("double")) <= q + RANK_ERROR) & (F.avg((x <= F.get(F.col(f"__{c}"), F.lit(i))).cast("double")) >= q - RANK_ERROR)
-                for i, q in enumerate(quantiles)
+                (F.avg((x < at).cast("double")) <= q + RANK_ERROR) & (F.avg((x <= at).cast("double")) >= q - RANK_ERROR)
+                for at, q in zip(found[c], quantiles, strict=True)
             ]
             good = off[0]
             for o in off[1:]:
@@ -113,7 +112,7 @@ def checked(df: DataFrame, estimates: DataFrame, numeric: Sequence[str] = (), qu
         else:
             fields.append(F.lit(None).cast("boolean").alias("quantiles_in_bounds"))
         aggs.append(F.struct(*fields).alias(f"r_{c}"))
-    exact = with_estimates.agg(*aggs).select(F.explode(F.array(*[_q(f"r_{c}") for c in columns])).alias("r")).select("r.*")
+    exact = df.agg(*aggs).select(F.explode(F.array(*[_q(f"r_{c}") for c in columns])).alias("r")).select("r.*")
     joined = estimates.join(exact, "column_name")
     near = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) <= F.ceil(F.col("n_distinct") * DISTINCT_ERROR)
     return joined.select(

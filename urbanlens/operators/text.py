@@ -30,9 +30,8 @@ def term_cells(df: DataFrame, text_col: str = "text", dim: int = 64, key: str =
     counts = df.select(F.col(key), F.explode(tokens).alias("__token")).groupBy(key, place.cast("int").alias("__at")).agg(
         F.count(F.lit(1)).alias("__tf")
     )
-    total = df.agg(F.count(F.lit(1)).alias("__n"))  # one row
-    idf = counts.groupBy("__at").agg(F.count(F.lit(1)).alias("__df")).join(F.broadcast(total))  # dim rows
-    idf = idf.select("__at", (F.log((F.col("__n") + 1) / (F.col("__df") + 1)) + 1).alias("__idf"))
+    n = F.lit(df.count())
+    idf = counts.groupBy("__at").agg((F.log((n + 1) / (F.count(F.lit(1)) + 1)) + 1).alias("__idf"))  # dim rows
     return counts.join(F.broadcast(idf), "__at").groupBy(key).agg(
         F.collect_list(F.struct(F.col("__at").alias("at"), (F.col("__tf") * F.col("__idf")).alias("w"))).alias("cells")
     )
