@@ -141,3 +141,10 @@ def test_latent_text_brings_related_words_together(spark):
     assert got[1] @ got[2] > 0.9 and got[4] @ got[5] > 0.9 and abs(got[1] @ got[4]) < 0.5
     with pytest.raises(ValueError):
         factors.gram(cells(spark, np.eye(2)), 10**6)
+
+
+def test_wide_vectors_are_not_broadcast(spark):
+    x = cells(spark, np.eye(4))
+    for found in (factors.latent_factors(x, 4, 2), text.latent_text(spark.createDataFrame([(1, "a b"), (2, "b c")], "item_id long, text string"), dim=8, rank=2)):
+        plan = x.select("item_id").join(found, "item_id", "left")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("SortMergeJoin")[0]

@@ -78,4 +78,5 @@ def latent_factors(rows: DataFrame, dim: int, rank: int, key: str = "item_id", c
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(ends, pa.array(found.reshape(-1)))], [key, "embedding"])
 
     whole = rows.select(key, F.coalesce(column, F.array().cast("array<struct<at:int,w:double>>")).alias(column))
-    return whole.mapInArrow(project, f"{key} {dict(rows.dtypes)[key]}, embedding array<double>")
+    # the size of an array is guessed as that of one element: without the hint all vectors would be broadcast by the driver
+    return whole.mapInArrow(project, f"{key} {dict(rows.dtypes)[key]}, embedding array<double>").hint("merge")

@@ -44,7 +44,8 @@ def embed_text(df: DataFrame, text_col: str = "text", dim: int = 64, key: str =
         F.sequence(F.lit(0), F.lit(dim - 1)),
         lambda i: F.coalesce(F.try_element_at(F.col("__cells"), i), F.lit(0.0)),
     )
-    return df.select(key).join(cells, key, "left").select(key, wide.alias("__v")).select(key, l2_normalize("__v").alias("embedding"))
+    # a row per item on both sides: neither is broadcast, whatever its guessed size
+    return df.select(key).join(cells.hint("merge"), key, "left").select(key, wide.alias("__v")).select(key, l2_normalize("__v").alias("embedding"))
 
 
 def latent_text(df: DataFrame, text_col: str = "text", dim: int = 512, rank: int = 64, key: str = "item_id") -> DataFrame:
