@@ -143,6 +143,45 @@ def test_latent_text_brings_related_words_together(spark):
         factors.gram(cells(spark, np.eye(2)), 10**6)
 
 
+@pytest.mark.parametrize("direct", [0, 64])
+def test_users_move_a_bounded_number_of_times(spark, direct):
+    """Each user meets many pages, but its vector is not copied to each of them."""
+    rnd = np.random.default_rng(11)
+    n, width = 300, 64
+    u = spark.createDataFrame([(i, [float(x) for x in rnd.normal(size=width)]) for i in range(n)], "user_id long, embedding array<double>").repartition(3)
+    items = {i: rnd.normal(size=width) for i in range(200)}
+    v = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in items.items()], "item_id long, embedding array<double>")
+    seen = {(int(a), int(b)) for a, b in rnd.integers(0, 200, (600, 2))}
+    hidden = spark.createDataFrame(sorted(seen), "user_id long, item_id long")
+    scan, topk.USERS = topk._meet, 64
+
+    def counted(*args):
+        run = scan(*args)
+
+        def spy(batches):
+            def seen():
+                for b in batches:
+                    total.add(sum(x == 0 for x in b.column("kind").to_pylist()))
+                    yield b
+
+            yield from run(seen())
+
+        return spy
+
+    total = spark.sparkContext.accumulator(0)
+    topk._meet = counted
+    try:
+        met = topk.top_items(u, v, 5, lambda keys: hidden.join(keys, "user_id", "left_semi"), page=10, pivots=4, direct=direct).orderBy("user_id", "rank").collect()
+    finally:
+        topk._meet, topk.USERS = scan, 8192
+    assert total.value <= 2 * n
+    users = {r.user_id: np.array(r.embedding) for r in u.collect()}
+    got = {}
+    for r in met:
+        got.setdefault(r.user_id, []).append(r.item_id)
+    assert got == plain_top(users, items, seen, 5)
+
+
 def test_wide_vectors_are_not_broadcast(spark):
     x = cells(spark, np.eye(4))
     for found in (factors.latent_factors(x, 4, 2), text.latent_text(spark.createDataFrame([(1, "a b"), (2, "b c")], "item_id long, text string"), dim=8, rank=2)):
