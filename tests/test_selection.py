@@ -68,3 +68,22 @@ def test_profile_by_selection_equals_exact(spark):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.floats(allow_nan=False, width=64), st.sampled_from([0.0, 1.0, 1.0]))), min_size=1, max_size=60))
 def test_any_values(spark, rows):
     assert selected(spark, [(k, v + 0.0 if v is not None else None) for k, v in rows], (0.25, 0.5), few=2) == plain(rows, (0.25, 0.5))
+
+
+def test_rows_of_few_groups_are_read_once_and_stay_where_they_are(spark):
+    """The source runs once, whatever the number of rounds, and no round sends a group's rows to one task."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(i):
+        read.add(1)
+        return float(i * 7919 % 30_011)
+
+    df = spark.range(20_000).repartition(6).select((F.col("id") % 2).cast("string").alias("k"), value.asNondeterministic()("id").alias("v"))
+    rounds = []
+    made = select_quantiles(df, ["k"], "v", (0.5,), few=50, rounds=rounds)
+    got = {r.k: r.value for r in made.collect()}
+    rows = [(str(i % 2), float(i * 7919 % 30_011)) for i in range(20_000)]
+    assert got == {k: v for (k, _), v in plain(rows, (0.5,)).items()} and len(rounds) >= 2
+    assert read.value == 20_000
+    assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
