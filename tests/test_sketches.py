@@ -87,3 +87,11 @@ def test_merged_correlation_of_shifted_cells(spark):
     assert math.isclose(cells.agg(kpi.merged_correlation("r", None).alias("r")).first().r, good.corr("x", "y"), abs_tol=1e-9)
     constant = kpi.moment_cells(spark.createDataFrame([(0, 1.0, 2.0)] * 3, "c int, x double, y double"), ["c"], [], {"r": "x"}, "y")
     assert constant.agg(kpi.merged_correlation("r").alias("r")).first().r is None
+
+
+def test_distinct_values_move_column_by_column(spark):
+    df = table(spark, 3000).withColumn("x", F.when(F.col("id") < 1500, F.col("x")).otherwise(F.lit(float("nan"))))
+    estimates = sketches.report(sketches.sketch(df, ["id", "x", "name", "none"]))
+    made = sketches.checked(df, estimates)
+    assert "Expand" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {r.column_name: r.n_distinct for r in made.collect()} == {"id": 3000, "x": 1351, "name": 300, "none": 0}

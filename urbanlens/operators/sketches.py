@@ -13,6 +13,7 @@ Bounds: distinct counts within ``DISTINCT_ERROR`` (about three standard errors o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -92,12 +93,13 @@ def report(merged: DataFrame, quantiles: Sequence[float] = QUANTILES, frequent:
 
 def checked(df: DataFrame, estimates: DataFrame, numeric: Sequence[str] = (), quantiles: Sequence[float] = QUANTILES, digits: int = 6) -> DataFrame:
     """The report beside exact figures: ``n_distinct`` is exact, ``distinct_in_bounds`` and ``quantiles_in_bounds`` say
-    whether the estimates keep to their bounds (the ranks of the estimated quantiles are counted)."""
+    whether the estimates keep to their bounds (the ranks of the estimated quantiles are counted). ``df`` is read once for each
+    column and once for the ranks."""
     found = {r.column_name: r.quantiles for r in estimates.select("column_name", "quantiles").collect()}  # a row per column
     columns = list(found)
     aggs = []
     for c in columns:
-        fields = [F.lit(c).alias("column_name"), F.count_distinct(F.col(c)).alias("n_distinct")]
+        fields = [F.lit(c).alias("column_name")]
         if c in numeric and found[c]:
             x = F.col(c).cast("double")
             off = [
@@ -113,7 +115,9 @@ def checked(df: DataFrame, estimates: DataFrame, numeric: Sequence[str] = (), qu
             fields.append(F.lit(None).cast("boolean").alias("quantiles_in_bounds"))
         aggs.append(F.struct(*fields).alias(f"r_{c}"))
     exact = df.agg(*aggs).select(F.explode(F.array(*[_q(f"r_{c}") for c in columns])).alias("r")).select("r.*")
-    joined = estimates.join(exact, "column_name")
+    # distinct values column by column: together, every row would be copied with all columns for each of them
+    distinct = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(c).alias("column_name"), "n_distinct") for c in columns]
+    joined = estimates.join(exact, "column_name").join(functools.reduce(DataFrame.unionByName, distinct), "column_name")
     near = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) <= F.ceil(F.col("n_distinct") * DISTINCT_ERROR)
     return joined.select(
         "column_name", "n_rows", "nulls", "least", "most", F.round("mean", digits).alias("mean"), F.round("stddev", digits).alias("stddev"),
