@@ -39,6 +39,22 @@ def test_equal_ranks_merge_leftmost_first():
     assert coder.merge(b"aaaaa") == [2, 3] and coder.merge(b"aaab") == [3, 1]
 
 
+def test_short_pre_tokens_merge_like_long_ones(monkeypatch):
+    rnd = random.Random(3)
+    with open(public_tokenizers.path(bpe.RANK_FILE), "rb") as f:
+        coder = bpe.Bpe(f.read(), public_tokenizers.PATTERN)
+    for letters, n in (("aaab", 9), ("abcdefgh", 30), ("etaoinshr", 12), ("éèaß中文", 8), ("ab", 40), ("a", bpe.SHORT), ("the", bpe.SHORT - 1)):
+        for _ in range(200):
+            piece = "".join(rnd.choice(letters) for _ in range(rnd.randint(2, n))).encode()
+            if piece in coder.ranks:
+                continue
+            short = coder.merge_short(piece)
+            with monkeypatch.context() as m:
+                m.setattr(bpe, "SHORT", 0)
+                assert coder.merge(piece) == short
+    assert not any(coder.places) and not any(coder.low)  # the queue is left empty
+
+
 def test_query_round_trip_and_edges(spark, small_docs):
     import hashlib
 

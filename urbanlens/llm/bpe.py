@@ -5,6 +5,8 @@ positions whose pair has that rank (a heap, as the leftmost comes first); two le
 bitmaps mark the buckets in use, and find-first-set down the levels gives the smallest rank.
 Entries whose pair has changed since are skipped when they surface. A pre-token of n bytes
 takes O(n) queue steps of O(log n) each whatever its length, and no scan over its pairs.
+Up to ``SHORT`` bytes a bucket is a bitmap of positions, a third level: find-first-set gives the leftmost
+too, and a pair that changes leaves its bucket at once.
 
 Edge cases: NULL and empty text encode to no ids; repeated rows encode alike;
 other columns pass through. Ids are packed little-endian 32-bit integers.
@@ -16,6 +18,7 @@ import base64
 import hashlib
 from array import array
 from heapq import heappop, heappush
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -32,6 +35,7 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 BIT = [1 << i for i in range(1024)]
+SHORT = 240  # bytes of a pre-token whose positions fit a bitmap of a few words
 
 
 class Bpe:
@@ -46,6 +50,10 @@ class Bpe:
         self.low = [0] * (count // 256 + 1)
         if len(self.low) > len(BIT):
             raise ValueError("more ranks than two levels of bitmaps hold")
+        # the same for short pre-tokens: a bitmap of positions, and a rank's bit on both levels
+        self.places = [0] * count
+        self.low_bit, self.top_bit = [BIT[r & 255] for r in range(count)], [BIT[r >> 8] for r in range(count)]
+        self.pairs = {tuple(a): r for a, r in self.ranks.items() if len(a) == 2}
         # white space by its Unicode property, as the public encoder has it
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
         self.chunks = Cache()
@@ -61,6 +69,8 @@ class Bpe:
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(piece) <= SHORT:
+            return self.merge_short(piece)
         n, find, buckets, low, top = len(piece), ranks.get, self.buckets, self.low, 0
         after, before = list(range(1, n + 2)), list(range(-1, n))
         pair = [find(piece[i : i + 2], -1) for i in range(n - 1)]
@@ -114,6 +124,74 @@ class Bpe:
             i = after[i]
         return out
 
+    def merge_short(self, piece: bytes) -> list[int]:
+        """The same for at most ``SHORT`` bytes, with positions as bits of their bucket."""
+        ranks, places, low, bit, low_bit, top_bit = self.ranks, self.places, self.low, BIT, self.low_bit, self.top_bit
+        n, find, top = len(piece), ranks.get, 0
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        pair = list(map(self.pairs.get, zip(piece, piece[1:]), repeat(-1)))
+        for at, rank in enumerate(pair):
+            if rank >= 0:
+                held = places[rank]
+                places[rank] = held | bit[at]
+                if not held:
+                    low[rank >> 8] |= low_bit[rank]
+                    top |= top_bit[rank]
+        pair += (-1, -1)
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            rank = (word << 8) + (bits & -bits).bit_length() - 1
+            held = places[rank]
+            here = held & -held
+            i = here.bit_length() - 1
+            places[rank] = held = held ^ here
+            if not held:
+                low[word] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
+            j = after[i]
+            k = after[j]
+            after[i] = k
+            before[k] = i
+            gone = pair[j]
+            if gone >= 0:
+                places[gone] = held = places[gone] ^ bit[j]
+                if not held:
+                    low[gone >> 8] = bits = low[gone >> 8] ^ low_bit[gone]
+                    if not bits:
+                        top ^= top_bit[gone]
+            pair[i] = rank = find(piece[i : after[k]], -1) if k < n else -1
+            if rank >= 0:
+                held = places[rank]
+                places[rank] = held | here
+                if not held:
+                    low[rank >> 8] |= low_bit[rank]
+                    top |= top_bit[rank]
+            if i:
+                p = before[i]
+                gone, rank = pair[p], find(piece[p:k], -1)
+                if rank != gone:
+                    pair[p] = rank
+                    if gone >= 0:
+                        places[gone] = held = places[gone] ^ bit[p]
+                        if not held:
+                            low[gone >> 8] = bits = low[gone >> 8] ^ low_bit[gone]
+                            if not bits:
+                                top ^= top_bit[gone]
+                    if rank >= 0:
+                        held = places[rank]
+                        places[rank] = held | bit[p]
+                        if not held:
+                            low[rank >> 8] |= low_bit[rank]
+                            top |= top_bit[rank]
+        out, i = [], 0
+        while i < n:
+            j = after[i]
+            out.append(ranks[piece[i:j]])
+            i = j
+        return out
+
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         find, merge, out = self.pattern.findall, self.merge, []
         for chunk in chunks:
