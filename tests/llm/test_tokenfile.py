@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import SMALL, frame
 from urbanlens.llm import idcoder, tokenfile
+from urbanlens.llm.chunks import distinct
 
 
 def library():
@@ -96,3 +97,19 @@ def test_literals_of_added_tokens_equal_the_library(spark, scratch):
     sizes = [len(x) + 1 for x in want[-5:]]
     assert [r[:3] for r in rows] == [(i, sum(sizes[:i]), n) for i, n in enumerate(sizes)]
     assert [np.frombuffer(r[3], "<u4").tolist() for r in rows] == [[*x, 2] for x in want[-5:]]
+
+
+def test_distinct_chunks_are_the_dictionary():
+    for values in ([b"", b"ab", b"ab", b"c\x00", "é中".encode(), b""], [b""], []):
+        chunks = pa.array(values, pa.large_binary()).dictionary_encode()
+        assert distinct(chunks) == chunks.dictionary.to_pylist()
+        part = pa.DictionaryArray.from_arrays(pa.array([], pa.int32()), chunks.dictionary[1:])
+        assert distinct(part) == chunks.dictionary.to_pylist()[1:]
+
+
+def test_letter_chunks_of_any_case_and_length_are_the_library_s():
+    with open(public_tokenizers.path(tokenfile.TOKENIZER), "rb") as f:
+        coder = tokenfile.Encoder(f.read())
+    texts = ["a", "word", "Word", "WORD", "qzxvkjw" * 20, "é", "École", "łódź", "straße", "ſo", "ab1", "中文", "1234", "a" * 50]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_chunks([x.encode() for x in texts])]
+    assert got == [coder.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from urbanlens.llm.chunks import Cache, chunk_starts, gather
+from urbanlens.llm.chunks import Cache, chunk_starts, distinct, gather
 from urbanlens.llm.common import read, text_blocks
 from urbanlens.llm.idcoder import decode_block, encode_block
 from urbanlens.session import checkpoint_dir
@@ -44,6 +44,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 # Byte-level vocabularies write printable bytes as themselves and the others, in order, as the characters from U+0100 on.
 _PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _SHOWN = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
 
 
@@ -93,16 +94,20 @@ class Encoder:
         return [x.id for x in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN))]
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        texts = [x.decode("utf-8") for x in chunks]
-        out: list = [None] * len(texts)
-        rest = []
-        for i, x in enumerate(texts):
-            if self.direct and x.isalpha() and (x.isascii() or max(x) < "\u0180") and x == x.lower():
-                ids = self._letters(x)
-                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        out: list = [None] * len(chunks)
+        rest, texts = [], []
+        tokenize, direct = self.model.tokenize, self.direct
+        for i, x in enumerate(chunks):
+            if direct and x.isalpha() and x.islower():  # ASCII
+                ids = [t.id for t in tokenize(x.decode("ascii"))]
             else:
-                rest.append(i)
-        found = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
+                text = x.decode("utf-8")
+                if not (direct and text.isalpha() and max(text) < "\u0180" and text == text.lower()):
+                    rest.append(i), texts.append(text)
+                    continue
+                ids = self._letters(text)
+            out[i] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for i, x in zip(rest, found, strict=True):
             out[i] = struct.pack(f"<{len(x.ids)}I", *x.ids)
         return out
@@ -131,7 +136,7 @@ class Encoder:
             start = start - np.searchsorted(blank, start)
         bounds = pa.py_buffer(np.append(start, len(data)).astype(np.int64))
         chunks = pa.Array.from_buffers(pa.large_binary(), len(start), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        runs = self.cache.fetch(chunks.dictionary.to_pylist(), self.encode_chunks)
+        runs = self.cache.fetch(distinct(chunks), self.encode_chunks)
         size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         ids, ends = gather(np.cumsum(size) - size, size, np.frombuffer(b"".join(runs), "<u4"), chunks.indices.to_numpy().astype(np.int64))
         return ids, ends[row]
