@@ -33,6 +33,18 @@ def test_fare_model_invariants(spark, scratch):
     assert loaded.transform(fm.predictions.drop("prediction", "features", *[c for c in fm.predictions.columns if c.endswith("_idx")])).count() == fm.predictions.count()
 
 
+def test_fit_keeps_node_numbers_and_finds_the_same_trees(spark):
+    rows = [(i, float(i % 37), float(i * 7 % 101), "abc"[i % 3], float(i % 37 * 2 + i * 7 % 101 + i % 3)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "id int, x double, y double, kind string, fare double").coalesce(2)
+    pipeline = model.feature_pipeline(["x", "y"], ["kind"], "fare", numTrees=7, maxDepth=8)
+    forest = pipeline.getStages()[-1]
+    assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+    kept = pipeline.fit(frame).stages[-1].toDebugString
+    forest.setCacheNodeIds(False)
+    strip = lambda text: text.split("\n", 1)[1]  # noqa: E731  (the first line has the model's own name)
+    assert strip(pipeline.fit(frame).stages[-1].toDebugString) == strip(kept)
+
+
 def test_unseen_category_gets_extra_index(spark):
     from pyspark.sql import functions as F
 
