@@ -2,7 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from urbanlens.operators import forest, model
@@ -106,3 +108,27 @@ def test_the_model_is_fitted_once_per_input(spark, scratch):
     stored = jobs.read_fare_model(spark, first)
     assert {r.metric for r in stored.metrics.collect()} == {"rmse", "r2", "mae"} and stored.predictions.count() > 0
     assert len(versions.history(spark, f"{scratch}/m")) == 2
+
+
+def test_lean_fit_grows_the_trees_of_spark_whatever_is_kept(spark, monkeypatch):
+    """Rows drawn anew by each pass, or kept: the same draws, splits and predictions; nothing stays behind."""
+    rnd = random.Random(11)
+    rows = [[rnd.uniform(0, 9) for _ in model.NUMERIC_FEATURES] + [rnd.choice("abc") for _ in model.CATEGORICAL_FEATURES] + [rnd.uniform(3, 90)] for _ in range(400)]
+    names = [*model.NUMERIC_FEATURES, *model.CATEGORICAL_FEATURES, model.TARGET]
+    frame = spark.createDataFrame(rows, names).repartition(3, "trip_distance")
+    few = dict(numTrees=6, maxDepth=4)
+    stages = model.feature_pipeline(**few).getStages()
+    own = Pipeline(stages=[*stages[:2], RandomForestRegressor(featuresCol="features", labelCol=model.TARGET, **{**model.FOREST_PARAMS, **few})])
+    told = lambda fitted: fitted.stages[-1].toDebugString.split("\n", 1)[1]
+    want = told(own.fit(frame))
+    assert model.kept_in_memory(400, 20, 6, 0) == (False, False) and model.kept_in_memory(400, 20, 6, 1 << 30) == (True, True)
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size
+    before = held()
+    for memory in (0, 400 * 350, 1 << 30):
+        monkeypatch.setattr(model, "storage_memory", lambda _, memory=memory: memory)
+        assert told(model.feature_pipeline(**few).fit(frame)) == want and held() == before
+    # more partitions than the tasks of a pass: every row is in some sum
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 1)
+    monkeypatch.setattr(model.LeanForestRegressor, "TASKS", 2)
+    fitted = model.feature_pipeline(**few, bootstrap=False, featureSubsetStrategy="all").fit(frame)
+    assert all(t._call_java("rootNode").impurityStats().count() == 400 for t in fitted.stages[-1].trees)
