@@ -1,6 +1,7 @@
 import io
 import subprocess
 import sys
+import time
 import zipfile
 
 from urbanlens import session
@@ -20,3 +21,17 @@ def test_archive_holds_the_package_and_names_its_content(tmp_path):
 def test_local_sessions_need_no_archive(spark):
     session.ship_package(spark)
     assert not any("urbanlens-" in x for x in spark.sparkContext._python_includes)
+
+
+def test_release_frees_the_shuffles_of_finished_frames(spark):
+    known = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = known.shuffleStatuses().size()
+    for _ in range(5):
+        spark.range(1000).repartition(7, "id").write.format("noop").mode("overwrite").save()
+    made = known.shuffleStatuses().size()
+    assert made > before  # without it they may stay
+    ends = time.time() + 30
+    while known.shuffleStatuses().size() >= made and time.time() < ends:
+        session.release(spark)
+        time.sleep(0.5)
+    assert known.shuffleStatuses().size() < made
